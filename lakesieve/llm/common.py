@@ -67,7 +67,7 @@ def parts(spark: SparkSession, mb: float = 0.0, each_mb: float = 32.0) -> int:
 def size_mb(df: DataFrame) -> float:
     """Catalyst's estimate of df's size, in MB, without reading it."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return min(float(stats.sizeInBytes().toString()), 1e18) / 1e6
+    return min(float(str(stats.sizeInBytes())), 1e18) / 1e6
 
 
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesieve.llm.bpe import encode_texts
 from lakesieve.llm.exact_dedup import exact_groups
 from lakesieve.llm.mixing import pareto_mix
+from lakesieve.llm.token_files import read_shards, write_shards
+from lakesieve.llm.warc import decide, merge_index, read_archives, write_archives
+
+BPE_MULTI = "byte_bpe_multi_50k.tiktoken"
+BPE_50K = "byte_bpe_50k.json"
+"""Names in public_tokenizers; a path may stand in their place."""
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +27,23 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    got = encode_texts(_table(spark, sf_dir, "documents"), BPE_MULTI, PATTERN, with_ids=False, digests=True)
+    return got.withColumnRenamed("id", "doc_id")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = write_archives(decide(_table(spark, sf_dir, "pages")))
+    got = read_archives(merge_index(runs))
+    return got.select(F.col("id").alias("page_id"), F.col("n").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), F.col("refers").alias("refers_to"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_shards(write_shards(_table(spark, sf_dir, "documents"), BPE_50K))
+
+
 def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = pareto_mix(_table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -32,6 +56,15 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER
 FROM d
 """
 
+OP7_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d, coalesce(html, '') AS h FROM pages),
+g AS (SELECT h, max(page_id) AS m FROM p WHERE n >= 1000 GROUP BY h)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN g.m IS NOT NULL AND g.m <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.m IS NOT NULL AND g.m <> p.page_id THEN g.m END AS refers_to
+FROM p LEFT JOIN g ON p.n >= 1000 AND p.h = g.h
+"""
+
 OP10_SQL = """
 WITH RECURSIVE base AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
@@ -55,8 +88,8 @@ SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN p > 0 AND mid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_exact_dedup": op5_exact_dedup, "op10_pareto_mix": op10_pareto_mix}
+    return {"op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op10_pareto_mix": op10_pareto_mix}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op10_pareto_mix": OP10_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op10_pareto_mix": OP10_SQL}
