@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesieve.llm import langid, toxicity
 from lakesieve.llm.bpe import encode_texts
 from lakesieve.llm.exact_dedup import exact_groups
 from lakesieve.llm.mixing import pareto_mix
@@ -22,6 +23,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+TOXICITY = {"low_quality": "1 - quality", "toxic": "toxic"}
+"""The chain over what the labels tell: unwanted quality, then toxicity, which sees the former's probability."""
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, _table(spark, sf_dir, "labels"), TOXICITY)
+    return toxicity.classify(docs, chain).withColumnRenamed("id", "doc_id")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = exact_groups(_table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
@@ -88,7 +104,7 @@ SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN p > 0 AND mid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op10_pareto_mix": op10_pareto_mix}
+    return {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op10_pareto_mix": op10_pareto_mix}
 
 
 def oracle_sql() -> dict[str, str]:
