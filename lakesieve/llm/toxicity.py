@@ -6,9 +6,9 @@ out-of-fold predictions, so that a later model learns from what an earlier one
 says about texts it was not fitted on.
 
 Features are whether a word, or its first 3 to 6 letters, occurs in the text,
-hashed to 32,768 bits; each model keeps the `keep` bits that tell its classes
+hashed to 131,072 bits; each model keeps the `keep` bits that tell its classes
 apart best. The chain is fitted on `sample` labelled documents at most, picked by
-a hash of the id: what reaches the driver is 4 KiB for each. Predictions read
+a hash of the id: what reaches the driver is 16 KiB for each. Predictions read
 whole texts.
 
 Defined results
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lakesieve.llm.common import ship
 
-BITS = 1 << 15
+BITS = 1 << 17
 TRIM = ".,;:!?|%&$#*()[]{}\"'«»“”¡¿-_"
 
 
@@ -77,22 +77,30 @@ def _columns(packed: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return ((packed[:, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1).astype(np.float32)
 
 
-def fit_linear(packed: np.ndarray, before: np.ndarray, y: np.ndarray, keep: int = 512, rounds: int = 150, l2: float = 2.0) -> Linear:
+def _set_bits(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of each set bit."""
+    rows, bits = [], []
+    for i in range(0, len(packed), 256):
+        r, c = np.nonzero(np.unpackbits(packed[i : i + 256], axis=1))
+        rows.append((r + i).astype(np.int32))
+        bits.append(c.astype(np.int32))
+    return np.concatenate(rows), np.concatenate(bits)
+
+
+def fit_linear(packed: np.ndarray, before: np.ndarray, y: np.ndarray, keep: int = 512, rounds: int = 150, l2: float = 0.5, least: float = 4.0, found: tuple[np.ndarray, np.ndarray] | None = None) -> Linear:
     n1, n0 = float(y.sum()), float(len(y) - y.sum())
     none = np.zeros(0, np.int64)
     if not n1 or not n0:
         rate = 0.0 if not len(y) else n1 / len(y)
         return Linear(none, np.zeros(0, np.float32), np.zeros(before.shape[1], np.float32), 30.0 if rate == 1 else -30.0)
-    on1, on = np.zeros(BITS), np.zeros(BITS)
-    for i in range(0, len(y), 256):
-        x = np.unpackbits(packed[i : i + 256], axis=1)
-        on += x.sum(0)
-        on1 += x[y[i : i + 256] == 1].sum(0)
+    row, bit = _set_bits(packed) if found is None else found
+    on = np.bincount(bit, minlength=BITS)
+    on1 = np.bincount(bit[y[row] == 1], minlength=BITS)
     share = on / len(y)
     apart = np.abs(on1 / n1 - (on - on1) / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
     apart[(on < 3) | (on == len(y))] = 0
     bits = np.sort(np.argsort(-apart, kind="stable")[:keep])
-    bits = bits[apart[bits] > 3]  # standard errors
+    bits = bits[apart[bits] > least]  # standard errors
     x = np.hstack([_columns(packed, bits), before.astype(np.float32), np.ones((len(y), 1), np.float32)])
     w, m, v = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     w[-1] = np.log(n1 / n0)
@@ -123,14 +131,18 @@ def fit_chain(packed: np.ndarray, labels: np.ndarray, fold: np.ndarray, categori
     """labels: a 0/1 column for each category. The threshold of the last is the one with the best F1 out of fold."""
     before = np.zeros((len(packed), 0), np.float32)
     models = []
+    found = _set_bits(packed) if len(packed) else None
     for c in range(len(categories)):
         y = labels[:, c].astype(np.float64)
         out = np.zeros(len(y), np.float32)
         for k in range(folds):
             test = fold % folds == k
             if test.any() and not test.all():
-                out[test] = fit_linear(packed[~test], before[~test], y[~test]).predict(packed[test], before[test])
-        models.append(fit_linear(packed, before, y))
+                place = np.cumsum(~test) - 1
+                mine = ~test[found[0]]
+                part = place[found[0][mine]], found[1][mine]
+                out[test] = fit_linear(packed[~test], before[~test], y[~test], found=part).predict(packed[test], before[test])
+        models.append(fit_linear(packed, before, y, found=found))
         before = np.hstack([before, out[:, None]])
     threshold, y = 0.5, labels[:, -1] if len(labels) else np.zeros(0)
     if y.sum():
