@@ -65,9 +65,9 @@ def parts(spark: SparkSession, mb: float = 0.0, each_mb: float = 32.0) -> int:
 
 
 def size_mb(df: DataFrame) -> float:
-    """Catalyst's estimate of df's size, in MB, without reading it."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return min(float(str(stats.sizeInBytes())), 1e18) / 1e6
+    """Catalyst's estimate of df's size, in MB, without reading it; where it has none (rows from the driver), 0."""
+    mb = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) / 1e6
+    return mb if mb < 1e9 else 0.0
 
 
 def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakesieve.llm import langid, toxicity
 from lakesieve.llm.bpe import encode_texts
 from lakesieve.llm.exact_dedup import exact_groups
+from lakesieve.llm.jaccard import jaccard_components
 from lakesieve.llm.mixing import pareto_mix
 from lakesieve.llm.token_files import read_shards, write_shards
 from lakesieve.llm.warc import decide, merge_index, read_archives, write_archives
@@ -60,6 +61,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(write_shards(_table(spark, sf_dir, "documents"), BPE_50K))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = jaccard_components(_table(spark, sf_dir, "documents"), n=3, num=9, den=10)
+    return got.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = pareto_mix(_table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -104,7 +110,7 @@ SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN p > 0 AND mid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op10_pareto_mix": op10_pareto_mix}
+    return {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op9_ngram_jaccard": op9_ngram_jaccard, "op10_pareto_mix": op10_pareto_mix}
 
 
 def oracle_sql() -> dict[str, str]:
