@@ -12,6 +12,7 @@ from lakesieve.llm.bpe import encode_texts
 from lakesieve.llm.exact_dedup import exact_groups
 from lakesieve.llm.jaccard import jaccard_components
 from lakesieve.llm.mixing import pareto_mix
+from lakesieve.llm.substring_dedup import repeats
 from lakesieve.llm.token_files import read_shards, write_shards
 from lakesieve.llm.warc import decide, merge_index, read_archives, write_archives
 
@@ -39,6 +40,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(_table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = exact_groups(_table(spark, sf_dir, "documents"))
     return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
@@ -71,6 +76,18 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+OP4_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d),
+h AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS g FROM s),
+r AS (SELECT doc_id, i FROM h WHERE g IN (SELECT g FROM h GROUP BY g HAVING count(*) > 1)),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+e AS (SELECT doc_id, list(j) AS js FROM c GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(w) AS n, CASE WHEN js IS NULL THEN w ELSE list_select(w, list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(js, x))) END AS kept
+      FROM d LEFT JOIN e USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(n - len(kept) AS BIGINT) AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
 OP5_SQL = """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size,
@@ -110,8 +127,8 @@ SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN p > 0 AND mid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op9_ngram_jaccard": op9_ngram_jaccard, "op10_pareto_mix": op10_pareto_mix}
+    return {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op4_substring_dedup": op4_substring_dedup, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op9_ngram_jaccard": op9_ngram_jaccard, "op10_pareto_mix": op10_pareto_mix}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op10_pareto_mix": OP10_SQL}
+    return {"op4_substring_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op10_pareto_mix": OP10_SQL}
