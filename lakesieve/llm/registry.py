@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakesieve.llm import langid, toxicity
 from lakesieve.llm.bpe import encode_texts
+from lakesieve.llm.embedding_dedup import near_vectors
 from lakesieve.llm.exact_dedup import exact_groups
 from lakesieve.llm.jaccard import jaccard_components
 from lakesieve.llm.mixing import pareto_mix
@@ -35,6 +36,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, chain).withColumnRenamed("id", "doc_id")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = near_vectors(_table(spark, sf_dir, "embeddings"), least=0.93)
+    return got.withColumnsRenamed({"id": "vec_id", "component": "component_id"})
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs)).withColumnRenamed("id", "doc_id")
@@ -76,6 +82,14 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+OP2_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r(n, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.a, r.c FROM r JOIN l ON l.b = r.n)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id) AS n_links, min(c) AS component_id, min(c) = vec_id AS kept
+FROM v JOIN r ON r.n = v.vec_id GROUP BY vec_id
+"""
+
 OP4_SQL = """
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d),
@@ -127,8 +141,8 @@ SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN p > 0 AND mid
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_toxicity": op1_toxicity, "op3_language_id": op3_language_id, "op4_substring_dedup": op4_substring_dedup, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op9_ngram_jaccard": op9_ngram_jaccard, "op10_pareto_mix": op10_pareto_mix}
+    return {"op1_toxicity": op1_toxicity, "op2_embedding_dedup": op2_embedding_dedup, "op3_language_id": op3_language_id, "op4_substring_dedup": op4_substring_dedup, "op5_exact_dedup": op5_exact_dedup, "op6_byte_bpe": op6_byte_bpe, "op7_warc": op7_warc, "op8_token_files": op8_token_files, "op9_ngram_jaccard": op9_ngram_jaccard, "op10_pareto_mix": op10_pareto_mix}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op10_pareto_mix": OP10_SQL}
+    return {"op2_embedding_dedup": OP2_SQL, "op4_substring_dedup": OP4_SQL, "op5_exact_dedup": OP5_SQL, "op7_warc": OP7_SQL, "op10_pareto_mix": OP10_SQL}
