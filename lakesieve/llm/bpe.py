@@ -21,8 +21,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +55,8 @@ class PrefixBPE:
             if len(end) == 2:
                 lengths.add(1)
         self.lengths = {e: tuple(sorted(n, reverse=True)) for e, n in by_end.items()}
-        self._alone: dict[int, bool] = {}
-        self._pair: dict[tuple[int, int], bool] = {}
+        self._sound: set[int] = set()  # tokens that their own bytes are encoded as
+        self._pair: dict[int, bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Merging by rank, for the few bytes of one or two tokens."""
@@ -68,34 +70,41 @@ class PrefixBPE:
 
     def alone(self, token: int) -> bool:
         """Whether the token's bytes are encoded as this token."""
-        if (ok := self._alone.get(token)) is None:
-            ok = self._alone[token] = self.merged(self.bytes_of[token]) == [token]
-        return ok
+        if self.merged(self.bytes_of[token]) == [token]:
+            self._sound.add(token)
+            return True
+        return False
 
     def follows(self, a: int, b: int) -> bool:
         """Whether b can stand after a."""
-        if (ok := self._pair.get((a, b))) is None:
-            if len(self._pair) > 2_000_000:
-                self._pair.clear()
-            ok = self._pair[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+        if len(self._pair) > 2_000_000:
+            self._pair.clear()
+        ok = self._pair[a << 32 | b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return ok
 
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
         """The valid last token of data[:end], given those of shorter prefixes."""
-        for n in self.lengths.get(data[max(0, end - 2) : end], (1,)) if end > 1 else (1,):
+        ranks, pair = self.ranks, self._pair
+        for n in self.lengths.get(data[end - 2 : end] if end > 1 else b"", (1,)):
             start = end - n
             if start < 0:
                 continue
-            token = self.ranks.get(data[start:end])
-            if token is not None and self.alone(token) and (not start or self.follows(last[start], token)):
+            token = ranks.get(data[start:end])
+            if token is None or token not in self._sound and not self.alone(token):
+                continue
+            if not start:
+                return token
+            ok = pair.get(last[start] << 32 | token)
+            if ok or ok is None and self.follows(last[start], token):
                 return token
         raise ValueError("the vocabulary lacks single bytes")
 
     def table(self, data: bytes, last: list[int] | None = None) -> list[int]:
         """last[i]: the last token of data[:i]; last[0] is unused. Given a table of a prefix, extends it."""
         last = last or [-1]
+        step = self.last_token
         for end in range(len(last), len(data) + 1):
-            last.append(self.last_token(data, end, last))
+            last.append(step(data, end, last))
         return last
 
     def walk(self, last: list[int]) -> list[int]:
@@ -146,43 +155,65 @@ class Editable:
 
 
 class TextEncoder:
-    """Whole texts: pre-tokens by the pattern, equal pieces encoded once."""
+    """Whole texts: pre-tokens by the pattern, equal pieces encoded once.
 
-    def __init__(self, path: str, pattern: str):
+    New pre-tokens are taken in alphabetical order, so that each one's table goes
+    on from the beginning that it shares with the one before.
+    """
+
+    def __init__(self, path: str, pattern: str, limit: int = 400_000):
         self.bpe = PrefixBPE(load_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.tokens = PieceCacheTokens(self.bpe)
         self.width = np.dtype("<u2" if max(self.bpe.bytes_of) < 1 << 16 else "<u4")
-        self.pieces = PieceCache(self._pieces)
-
-    def _pieces(self, pieces: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        for p in pieces:
-            ids: list[int] = []
-            for m in self.pattern.findall(p):
-                ids += self.tokens.get(m)
-            yield np.array(ids, self.width).tobytes(), ",".join(map(str, ids)).encode()
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bytes]]:
-        """For each text its ids, and the decimal ids joined by commas."""
+        self.code = "H" if self.width.itemsize == 2 else "I"
+        self.decimal = {i: str(i).encode() for i in self.bpe.bytes_of}
+        self.limit = limit
+        self.tokens: dict[str, bytes] = {}
+        self.pieces = PieceCache(self._pieces, limit)
+
+    def split(self, piece: str) -> list[str]:
+        """The pattern's matches; a word with a mark behind it, or none, needs no search."""
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isalpha():
+            return [piece]
+        if word[-1:] in (",", ".") and word[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+        return self.pattern.findall(piece)
+
+    def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        found = [self.split(p) for p in pieces]
+        held = self.tokens
+        if len(held) > self.limit:
+            held.clear()
+        ranks, table, walk = self.bpe.ranks, self.bpe.table, self.bpe.walk
+        before, last = b"", [-1]
+        long: list[str] = []
+        for token in sorted({t for f in found for t in f} - held.keys()):
+            data = token.encode()
+            whole = ranks.get(data)
+            if whole is None:
+                same = len(commonprefix((before, data)))
+                last = table(data, last[: same + 1])
+                before = data
+                ids = walk(last)
+            else:
+                ids = [whole]
+            held[token] = array(self.code, ids).tobytes()
+            if len(token) > 64:
+                long.append(token)
+        for f in found:
+            yield held[f[0]] if len(f) == 1 else b"".join([held[t] for t in f])
+        for token in long:
+            del held[token]
+
+    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
         for values in self.pieces.values(texts):
-            yield np.frombuffer(b"".join([v[0] for v in values]), self.width), b",".join([v[1] for v in values if v[1]])
-
-
-class PieceCacheTokens:
-    """Pre-tokens' encodings, a bounded number of them."""
-
-    def __init__(self, bpe: PrefixBPE, limit: int = 300_000):
-        self.bpe, self.limit, self.held = bpe, limit, {}
+            yield np.frombuffer(b"".join(values), self.width)
 
-    def get(self, token: str) -> list[int]:
-        ids = self.held.get(token)
-        if ids is None:
-            ids = self.bpe.encode(token.encode())
-            if len(token) <= 64:
-                if len(self.held) >= self.limit:
-                    self.held.clear()
-                self.held[token] = ids
-        return ids
+    def joined(self, ids: list[int]) -> bytes:
+        """Decimal ids, joined by commas."""
+        return b",".join(map(self.decimal.__getitem__, ids))
 
 
 @lru_cache(2)
@@ -211,13 +242,14 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
             rows = by_volume(list(range(len(strings))), map(len, strings))
             for run in rows:
                 n, ids, sha_ids, sha_text = [], [], [], []
-                for got, decimal in enc.encode([strings[i] for i in run]):
+                for got in enc.encode([strings[i] for i in run]):
                     n.append(len(got))
                     if with_ids:
                         ids.append(got.astype(np.int32))
                     if digests:
-                        sha_ids.append(hashlib.sha256(decimal).hexdigest())
-                        sha_text.append(hashlib.sha256(enc.bpe.decode(got.tolist())).hexdigest())
+                        listed = got.tolist()
+                        sha_ids.append(hashlib.sha256(enc.joined(listed)).hexdigest())
+                        sha_text.append(hashlib.sha256(enc.bpe.decode(listed)).hexdigest())
                 cols = {"id": b.column("id").slice(run[0], len(run)), "n_tokens": pa.array(n, pa.int64())}
                 if with_ids:
                     cols["ids"] = pa.array(ids, pa.list_(pa.int32()))
