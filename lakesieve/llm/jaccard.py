@@ -2,8 +2,8 @@
 
 Which texts may be alike: two sets whose Jaccard similarity is num/den or more
 differ in k elements at most, k following from their sizes. Each set's elements
-are dealt by hash to k + 1 segments (k for the largest set of its size class), so
-such a pair agrees on one segment whole. Segments' hashes are exchanged in packed
+are dealt by hash to more than k segments (k for the largest set of its size
+class), so such a pair agrees on one segment whole that isn't empty. Segments' hashes are exchanged in packed
 blocks; where one occurs in several texts, these are tied to one of them, and the
 components of these ties hold every link.
 
@@ -30,7 +30,9 @@ other columns                  ignored
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ from lakesieve.llm.shingles import BASE, mix, shingle_set
 FLUSH = 1 << 20  # postings that a task packs at once
 BLOCK = 256  # sets that are compared in one unit, two blocks of them at most
 PIVOTS = 8
-DEPTH = 6
+TURNS = 24
 
 
 # --- candidates -----------------------------------------------------------------------------------------------------
@@ -58,35 +60,68 @@ def size_class(n: int) -> tuple[int, int]:
     return low, high - 1
 
 
-def _segments(s: np.ndarray, last: int, num: int, den: int, path: int, depth: int) -> list[np.ndarray]:
-    """Hashes of a set's segments, in the family of the class that ends with size `last`.
+@lru_cache(4096)
+def plan(low: int, high: int, num: int, den: int) -> tuple[int, int]:
+    """(segments m, spare segments) for the family of the class low..high.
 
-    An empty segment tells nothing: what would agree on it only is split anew by
-    another hash, under that segment's name.
+    A similar pair whose smaller set is of the class differs in k elements at
+    most and agrees on m - k segments. With m = k + 1 + spare, one of these isn't
+    empty unless both sets have more than `spare` empty segments. More spare
+    segments are shorter, fewer let more sets need another try: the cheapest.
     """
-    m = (den - num) * last // num + 1
-    seed = mix(np.array([path, last], np.uint64)).sum(dtype=np.uint64)
-    spread = mix(s + seed)
-    seg = (spread >> np.uint64(33)).astype(np.int64) % m
-    order = np.argsort(seg, kind="stable")
-    first = np.flatnonzero(np.diff(seg[order], prepend=-1))
-    here = seg[order][first]
-    # what is summed must not be what dealt the elements out
-    sums = np.add.reduceat(mix(spread + np.uint64(BASE))[order], first)
-    out = [mix(sums + mix(here.astype(np.uint64) + seed))]
-    if len(here) < m:
-        for empty in np.setdiff1d(np.arange(m), here, assume_unique=True).tolist():
-            name = int(mix(np.array([path * 1_000_003 + empty + 1 & (1 << 64) - 1], np.uint64))[0])
-            out += _segments(s, last, num, den, name, depth - 1) if depth else [np.array([name ^ int(seed)], np.uint64)]
+    k = (den - num) * high // num
+    if not k:
+        return 1, 0
+    best = (math.inf, k + 1, 0)
+    for spare in range(0, 2 * k + 2, max(1, k // 50)):
+        m = k + 1 + spare
+        mean = m * math.exp(-(low + high) / 2 / m)
+        again = _over(spare, mean)
+        best = min(best, (m / (1 - again) if again < 0.9 else m * 10 / (1.01 - again), m, spare))
+    return best[1:]
+
+
+def _over(n: int, mean: float) -> float:
+    """P(X > n) of a Poisson X."""
+    if mean > 50:
+        return 0.5 * math.erfc((n + 0.5 - mean) / math.sqrt(2 * mean))
+    term = total = math.exp(-mean)
+    for i in range(1, n + 1):
+        term *= mean / i
+        total += term
+    return max(0.0, 1 - total)
+
+
+def _segments(s: np.ndarray, low: int, high: int, num: int, den: int) -> list[np.ndarray]:
+    """Hashes of a set's segments, in the family of the class low..high.
+
+    Empty segments tell nothing and aren't named. A set with more of them than the
+    plan has to spare is dealt once more by another hash, and so on.
+    """
+    m, spare = plan(low, high, num, den)
+    out = []
+    for turn in range(TURNS + 1):
+        seed = mix(np.array([turn << 32 | high], np.uint64))[0]
+        dealt = mix(s + seed)
+        seg = (dealt >> np.uint64(33)).astype(np.int64) % m
+        order = np.argsort(seg, kind="stable")
+        first = np.flatnonzero(np.diff(seg[order], prepend=-1))
+        here = seg[order][first]
+        # what is summed must not be what dealt the elements out
+        sums = np.add.reduceat(mix(dealt + np.uint64(BASE))[order], first)
+        out.append(mix(sums + mix(here.astype(np.uint64) + seed)))
+        if m - len(here) <= spare:
+            return out
+    out.append(mix(np.setdiff1d(np.arange(m), here).astype(np.uint64) + seed))
     return out
 
 
 def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     """All hashes by which a set may meet a similar one: of its class, and of the class below if that can hold similar sets."""
     low, high = size_class(len(s))
-    out = _segments(s, high, num, den, 0, DEPTH)
+    out = _segments(s, low, high, num, den)
     if low > 1 and num * len(s) <= den * (low - 1):
-        out += _segments(s, low - 1, num, den, 0, DEPTH)
+        out += _segments(s, *size_class(low - 1), num, den)
     return np.unique(np.concatenate(out))
 
 
