@@ -130,8 +130,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not seen:
         return None
     limit = [(r["lang"], math.ceil(min(1.0, per_language / r["count"]) * (1 << 30))) for r in seen]
+    # a row for each language: what is broadcast does not grow with the texts
     limits = spark.createDataFrame(limit, "lang string, most long")
-    picked = rows.withColumn("h", F.expr(f"pmod(xxhash64(id), {1 << 30})")).join(limits, "lang").where("h < most").select("text", "lang", "h")
+    picked = rows.withColumn("h", F.expr(f"pmod(xxhash64(id), {1 << 30})")).join(F.broadcast(limits), "lang").where("h < most").select("text", "lang", "h")
     got = sorted(_count_rows(picked.where(F.col("text").isNotNull())).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["counts"])))
     own: dict[str, list] = {}
     for r in got:

@@ -8,7 +8,7 @@ says about texts it was not fitted on.
 Features are whether a word, or its first 3 to 6 letters, occurs in the text,
 hashed to 131,072 bits; each model keeps the `keep` bits that tell its classes
 apart best. The chain is fitted on `sample` labelled documents at most, picked by
-a hash of the id: what reaches the driver is 16 KiB for each. Predictions read
+a hash of the id: what reaches the driver is 16 KiB at most for each. Predictions read
 whole texts.
 
 Defined results
@@ -48,11 +48,38 @@ def word_bits(word: str) -> list[int]:
 
 
 def text_bits(text: str | None) -> bytes:
-    """All of a text's bits, packed."""
+    """All of a text's bits, packed: 16 KiB at most, a few after compression."""
     out = np.zeros(BITS, np.uint8)
     for w in set((text or "").lower().split()):
         out[word_bits(w)] = 1
-    return np.packbits(out).tobytes()
+    return zlib.compress(np.packbits(out).tobytes(), 1)
+
+
+@dataclass
+class Found:
+    """Which bits are set in which of n texts."""
+
+    n: int
+    row: np.ndarray
+    bit: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Found:
+        bits = [np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(t), np.uint8))).astype(np.int32) for t in texts]
+        row = np.repeat(np.arange(len(bits), dtype=np.int32), [len(b) for b in bits])
+        return cls(len(bits), row, np.concatenate(bits) if bits else np.zeros(0, np.int32))
+
+    def only(self, rows: np.ndarray) -> Found:
+        mine = rows[self.row]
+        return Found(int(rows.sum()), (np.cumsum(rows) - 1)[self.row[mine]], self.bit[mine])
+
+    def columns(self, bits: np.ndarray) -> np.ndarray:
+        at = np.full(BITS, -1)
+        at[bits] = np.arange(len(bits))
+        at = at[self.bit]
+        x = np.zeros((self.n, len(bits)), np.float32)
+        x[self.row[at >= 0], at[at >= 0]] = 1
+        return x
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -68,40 +95,24 @@ class Linear:
     earlier: np.ndarray
     bias: float
 
-    def predict(self, packed: np.ndarray, before: np.ndarray) -> np.ndarray:
-        x = _columns(packed, self.bits)
-        return _sigmoid(x @ self.weights + before @ self.earlier + self.bias)
-
-
-def _columns(packed: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    return ((packed[:, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1).astype(np.float32)
+    def predict(self, found: Found, before: np.ndarray) -> np.ndarray:
+        return _sigmoid(found.columns(self.bits) @ self.weights + before @ self.earlier + self.bias)
 
 
-def _set_bits(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and number of each set bit."""
-    rows, bits = [], []
-    for i in range(0, len(packed), 256):
-        r, c = np.nonzero(np.unpackbits(packed[i : i + 256], axis=1))
-        rows.append((r + i).astype(np.int32))
-        bits.append(c.astype(np.int32))
-    return np.concatenate(rows), np.concatenate(bits)
-
-
-def fit_linear(packed: np.ndarray, before: np.ndarray, y: np.ndarray, keep: int = 512, rounds: int = 150, l2: float = 0.5, least: float = 4.0, found: tuple[np.ndarray, np.ndarray] | None = None) -> Linear:
+def fit_linear(found: Found, before: np.ndarray, y: np.ndarray, keep: int = 512, rounds: int = 150, l2: float = 0.5, least: float = 4.0) -> Linear:
     n1, n0 = float(y.sum()), float(len(y) - y.sum())
     none = np.zeros(0, np.int64)
     if not n1 or not n0:
         rate = 0.0 if not len(y) else n1 / len(y)
         return Linear(none, np.zeros(0, np.float32), np.zeros(before.shape[1], np.float32), 30.0 if rate == 1 else -30.0)
-    row, bit = _set_bits(packed) if found is None else found
-    on = np.bincount(bit, minlength=BITS)
-    on1 = np.bincount(bit[y[row] == 1], minlength=BITS)
+    on = np.bincount(found.bit, minlength=BITS)
+    on1 = np.bincount(found.bit[y[found.row] == 1], minlength=BITS)
     share = on / len(y)
     apart = np.abs(on1 / n1 - (on - on1) / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
     apart[(on < 3) | (on == len(y))] = 0
     bits = np.sort(np.argsort(-apart, kind="stable")[:keep])
     bits = bits[apart[bits] > least]  # standard errors
-    x = np.hstack([_columns(packed, bits), before.astype(np.float32), np.ones((len(y), 1), np.float32)])
+    x = np.hstack([found.columns(bits), before.astype(np.float32), np.ones((len(y), 1), np.float32)])
     w, m, v = np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros(x.shape[1])
     w[-1] = np.log(n1 / n0)
     decay = np.full(x.shape[1], l2)
@@ -119,30 +130,19 @@ class Chain:
     models: list[Linear]
     threshold: float
 
-    def predict(self, packed: np.ndarray) -> np.ndarray:
-        """Probabilities, a column for each category in order."""
-        before = np.zeros((len(packed), 0), np.float32)
-        for m in self.models:
-            before = np.hstack([before, m.predict(packed, before)[:, None].astype(np.float32)])
-        return before
-
 
-def fit_chain(packed: np.ndarray, labels: np.ndarray, fold: np.ndarray, categories: list[str], folds: int = 5) -> Chain:
+def fit_chain(found: Found, labels: np.ndarray, fold: np.ndarray, categories: list[str], folds: int = 5) -> Chain:
     """labels: a 0/1 column for each category. The threshold of the last is the one with the best F1 out of fold."""
-    before = np.zeros((len(packed), 0), np.float32)
+    before = np.zeros((found.n, 0), np.float32)
     models = []
-    found = _set_bits(packed) if len(packed) else None
     for c in range(len(categories)):
         y = labels[:, c].astype(np.float64)
         out = np.zeros(len(y), np.float32)
         for k in range(folds):
             test = fold % folds == k
             if test.any() and not test.all():
-                place = np.cumsum(~test) - 1
-                mine = ~test[found[0]]
-                part = place[found[0][mine]], found[1][mine]
-                out[test] = fit_linear(packed[~test], before[~test], y[~test], found=part).predict(packed[test], before[test])
-        models.append(fit_linear(packed, before, y, found=found))
+                out[test] = fit_linear(found.only(~test), before[~test], y[~test]).predict(found.only(test), before[test])
+        models.append(fit_linear(found, before, y))
         before = np.hstack([before, out[:, None]])
     threshold, y = 0.5, labels[:, -1] if len(labels) else np.zeros(0)
     if y.sum():
@@ -189,7 +189,7 @@ class Scorer:
         return p
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text", sample: int = 6000) -> Chain:
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text", sample: int = 5000) -> Chain:
     """categories: name -> SQL expression over the label columns that is 1 where the category applies, in chain order."""
     spark = docs.sparkSession
     ship(spark)
@@ -209,20 +209,20 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     picked = picked.select("text", F.xxhash64("_id").alias("h"), *names).limit(2 * sample)  # repeated ids
     got = picked.mapInArrow(run, "h long, " + ", ".join(f"`{n}` int" for n in names) + ", bits binary").collect()
     got.sort(key=lambda r: (r["h"], bytes(r["bits"])))
-    packed = np.array([np.frombuffer(bytes(r["bits"]), np.uint8) for r in got], np.uint8).reshape(-1, BITS // 8)
     y = np.array([[r[n] for n in names] for r in got], np.float64).reshape(-1, len(names))
     fold = np.array([r["h"] % 5 for r in got], np.int64)
-    return fit_chain(packed, y, fold, names)
+    return fit_chain(Found.of([bytes(r["bits"]) for r in got]), y, fold, names)
 
 
 def classify(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, p_<category> for each, toxic (the last category at its threshold) of every document, and the columns of keep."""
+    """id, p_<category> for each, toxic (the last category at its threshold) of every document, and the columns of keep as keep_<column>."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(chain)
     names = [f"p_{c}" for c in chain.categories]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in keep])
-    carried = [f for f in rows.schema.fields if f.name != "text"]
+    others = [c for c in keep if c != text_col]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in others])
+    carried = [f for f in rows.schema.fields if f.name != "text" or text_col in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(shared.value)
@@ -231,6 +231,6 @@ def classify(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: st
             out = {f.name: b.column(f.name) for f in carried} | {n: pa.array(p[:, k]) for k, n in enumerate(names)}
             yield pa.RecordBatch.from_pydict(out | {"toxic": pa.array(p[:, -1] >= shared.value.threshold)})
 
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [f"{n} double" for n in names] + ["toxic boolean"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [f"`{n}` double" for n in names] + ["`toxic` boolean"])
     out = rows.mapInArrow(run, schema)
-    return out.select("id", *names, "toxic", *[F.col(f"keep_{c}").alias(c) for c in keep])
+    return out.select("id", *[F.col(f"`{n}`") for n in names], "toxic", *[F.col("text" if c == text_col else f"`keep_{c}`").alias(f"keep_{c}") for c in keep])
