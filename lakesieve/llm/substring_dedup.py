@@ -174,7 +174,8 @@ def repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col:
     ship(spark)
     block = (window + 1) // 2
     mb = size_mb(docs)
-    buckets, groups = 2 * parts(spark, mb), 2 * parts(spark, mb, 16.0)
+    # Texts come together by groups of about 8 MB: what a group sends is an array a bucket, so groups follow the data alone.
+    buckets, groups = parts(spark, mb), max(2 * spark.sparkContext.defaultParallelism, int(mb / 8) + 1)
     kind = docs.schema[id_col].dataType.simpleString()
     # Texts are known by a hash of id and text: equal rows share it, which is no harm, for they repeat each other.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.expr(f"shiftrightunsigned(xxhash64(`{id_col}`, `{text_col}`), 1)").alias("name"))
