@@ -5,34 +5,17 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesieve.session import ship  # noqa: F401
+
 WORD = r"[^\x20\x09-\x0D]+"
 """A word: a run without ASCII white space; bytes.split() splits UTF-8 alike."""
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers of every executor, once per application."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
-    with zipfile.ZipFile(path, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(path))
-    _shipped.add(app)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir.
 
