@@ -31,11 +31,12 @@ def deadline(c: Column, of_range: str = "last") -> Column:
     m = F.coalesce(F.try_element_at(F.regexp_extract_all(t, F.lit(TIMES), 2), F.lit(-1)).try_cast("int"), F.lit(0))
     half = F.upper(F.replace(F.try_element_at(F.regexp_extract_all(t, F.lit(TIMES), 3), F.lit(-1)), F.lit("."), F.lit("")))
     hour = F.when((half == "AM") & (h == 12), 0).when((half == "PM") & (h != 12), h % 12 + 12).otherwise(h)
-    end = F.expr("interval 23 hours 59 minutes")
-    several = day_first(F.element_at(found, -1)) + end if of_range == "last" else day_first(F.element_at(found, 1))
-    single = day_first(F.element_at(found, 1))
-    single = F.when(h.isNull(), single + end).otherwise(single + F.make_dt_interval(F.lit(0), hour, m))
-    return F.when(F.size(found) == 0, day_first(t)).when(F.size(found) >= 2, several).otherwise(single)
+    n = F.size(found)
+    last = of_range == "last"
+    base = day_first(F.when(n == 0, t).when(n >= 2, F.try_element_at(found, F.lit(-1 if last else 1))).otherwise(F.try_element_at(found, F.lit(1))))
+    hours = F.when(n == 0, 0).when(n >= 2, 23 if last else 0).otherwise(F.coalesce(hour, F.lit(23)))
+    minutes = F.when(n == 0, 0).when(n >= 2, 59 if last else 0).when(h.isNull(), 59).otherwise(m)
+    return base + F.make_dt_interval(F.lit(0), hours, minutes)
 
 
 def date_token(c: Column) -> Column:
