@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesieve.llm.common import ship
-from lakesieve.llm.pieces import PieceCache, by_volume
+from lakesieve.llm.pieces import PieceCache, by_volume, split_plainly
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -161,7 +161,7 @@ class TextEncoder:
     on from the beginning that it shares with the one before.
     """
 
-    def __init__(self, path: str, pattern: str, limit: int = 400_000):
+    def __init__(self, path: str, pattern: str, limit: int = 450_000):
         self.bpe = PrefixBPE(load_ranks(path))
         self.pattern = regex.compile(pattern)
         self.width = np.dtype("<u2" if max(self.bpe.bytes_of) < 1 << 16 else "<u4")
@@ -169,19 +169,10 @@ class TextEncoder:
         self.decimal = {i: str(i).encode() for i in self.bpe.bytes_of}
         self.limit = limit
         self.tokens: dict[str, bytes] = {}
-        self.pieces = PieceCache(self._pieces, limit)
-
-    def split(self, piece: str) -> list[str]:
-        """The pattern's matches; a word with a mark behind it, or none, needs no search."""
-        word = piece[1:] if piece[:1] == " " else piece
-        if word.isalpha():
-            return [piece]
-        if word[-1:] in (",", ".") and word[:-1].isalpha():
-            return [piece[:-1], piece[-1]]
-        return self.pattern.findall(piece)
+        self.pieces = PieceCache(self._pieces, limit // 3)
 
     def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
-        found = [self.split(p) for p in pieces]
+        found = [split_plainly(p) or self.pattern.findall(p) for p in pieces]
         held = self.tokens
         if len(held) > self.limit:
             held.clear()

@@ -24,6 +24,16 @@ def cut_safely(text: str) -> tuple[list[str], list[str]]:
     return [first], rest
 
 
+def split_plainly(piece: str) -> list[str] | None:
+    """The pattern's matches of a word, alone or with a comma or full stop behind it; None for all else."""
+    word = piece[1:] if piece[:1] == " " else piece
+    if word.isalpha():
+        return [piece]
+    if word[-1:] in (",", ".") and word[:-1].isalpha():
+        return [piece[:-1], piece[-1]]
+    return None
+
+
 class PieceCache:
     """Values of pieces, computed once for as long as they are in use.
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 
 from lakesieve.llm.common import cut, new_path, parts, ship, size_mb
 from lakesieve.llm.elias_fano import EliasFano
-from lakesieve.llm.pieces import PieceCache, by_volume
+from lakesieve.llm.pieces import LONG, PieceCache, by_volume, split_plainly
 
 MAGIC = b"LSTOKEN1"
 
@@ -43,7 +44,7 @@ class LibraryEncoder:
     Texts that hold an added token's string go to the library as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = 400_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,7 +53,10 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pieces = PieceCache(self._encode)
+        self.code = "H" if self.width.itemsize == 2 else "I"
+        self.limit = limit
+        self.words: dict[str, bytes] = {}
+        self.pieces = PieceCache(self._pieces, limit // 3)
         # Pieces stand for themselves under the byte-level pattern alone.
         config = json.loads(self.library.to_str())
         pre = config["pre_tokenizer"] or {}
@@ -61,7 +65,21 @@ class LibraryEncoder:
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 1000):
             for e in self.library.encode_batch_fast(texts[i : i + 1000], add_special_tokens=False):
-                yield np.array(e.ids, self.width).tobytes()
+                yield array(self.code, e.ids).tobytes()
+
+    def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        """Words and the marks behind them are known apart, so that a word with a comma is no new one."""
+        found = [split_plainly(p) or [p] for p in pieces]
+        held = self.words
+        if len(held) > self.limit:
+            held.clear()
+        new = list({t for f in found for t in f} - held.keys())
+        held.update(zip(new, self._encode(new), strict=True))
+        for f in found:
+            yield held[f[0]] if len(f) == 1 else held[f[0]] + held[f[1]]
+        for t in new:
+            if len(t) > LONG:
+                del held[t]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         if not self.apart:
