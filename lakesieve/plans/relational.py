@@ -173,16 +173,21 @@ def catalog_parse(s, d):
 Q["q_catalog_parse"] = catalog_parse
 SQL["q_catalog_parse"] = "SELECT p_partkey % 100 AS doc, CAST(p_partkey % 7 + 1 AS INT) AS product, p_name AS nombre, upper(p_type) AS marca, p_size || ':b' AS modelo FROM part"
 
-_SCORE = (F.col("n") % 2 == 0).cast("int") + (F.col("s") % 3 == 0).cast("int")
-Q["q_catalog_best"] = lambda s, d: joins.best_per_key(catalog(s, d), ["ficha", "oferente"], _SCORE, F.struct("ord", "n", "p", "s", "x"), ["marca", "modelo", "pais"])
+
+
+def _score():
+    return (F.col("n") % 2 == 0).cast("int") + (F.col("s") % 3 == 0).cast("int")
+
+
+Q["q_catalog_best"] = lambda s, d: joins.best_per_key(catalog(s, d), ["ficha", "oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "modelo", "pais"])
 _RANK = "row_number() OVER (PARTITION BY {} ORDER BY -(CAST(n % 2 = 0 AS INT) + CAST(s % 3 = 0 AS INT)), ord, n, p, s, x)"
 SQL["q_catalog_best"] = f"WITH {CATALOG_SQL} SELECT ficha, oferente, marca, modelo, pais FROM (SELECT *, {_RANK.format('ficha, oferente')} AS r FROM catalog) WHERE r = 1"
 
 
 def lookup_exact(s, d):
     c = catalog(s, d).where("ord % 4 = 0")
-    both = joins.best_per_key(c, ["ficha", "oferente"], _SCORE, F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
-    one = joins.best_per_key(c, ["oferente"], _SCORE, F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
+    both = joins.best_per_key(c, ["ficha", "oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
+    one = joins.best_per_key(c, ["oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
     b = bids(s, d).select("acto", "n", "p", "proveedor", "total", (F.col("p") % 50).cast("string").alias("f"))
     got = joins.cascade(b, [(both, [("f", "ficha"), ("proveedor", "oferente")]), (one, [("proveedor", "oferente")])], ["marca", "pais"])
     return got.groupBy("step", "marca", "pais").agg(F.count("*").alias("n"))
