@@ -47,9 +47,10 @@ def sanitize(c: Column) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """UTF-8 that was read as Latin-1, where that is what it is; else as it was."""
-    raw = F.encode(c, "ISO-8859-1")
-    fits = F.decode(raw, "ISO-8859-1") == c
-    return F.when(fits & F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(c)
+    latin = c.rlike("^[\\x00-\\xFF]*$")
+    raw = F.encode(F.when(latin, c), "ISO-8859-1")
+    fits = F.is_valid_utf8(raw.cast("string"))
+    return F.coalesce(F.when(fits, F.decode(F.when(fits, raw), "UTF-8")), c)
 
 
 def before(c: Column, mark: str) -> Column:

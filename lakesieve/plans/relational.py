@@ -201,7 +201,7 @@ FROM bids b LEFT JOIN a ON a.ficha = CAST(b.p % 50 AS VARCHAR) AND a.oferente =
 
 def lookup_fuzzy(s, d):
     sup = table(s, d, "supplier")
-    asked = sup.select(norm_name(F.concat(F.translate("s_name", "0", "O"), F.lit(" sa"))).alias("buscado"))
+    asked = sup.select(norm_name(F.concat(F.translate("s_name", "1", "l"), F.lit(" sa"))).alias("buscado"))
     known = sup.select(norm_name(F.col("s_name")).alias("oferente"))
     return joins.fuzzy_lookup(asked, known, "buscado", "oferente", 0.75, ("sa", "de")).select("buscado", "oferente", F.round("score", 6).alias("score"))
 
