@@ -9,7 +9,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesieve.llm.common import cut, ship
+from lakesieve.llm.common import cut, ship, size_mb
+
+
+TASK_MB = 4.0  # of written edges that one task joins: under a million
 
 
 class UnionFind:
@@ -54,16 +57,20 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> (node, component): the smallest node that is reachable; of nodes that have an edge to another.
 
-    Large-star and small-star steps in turn until nothing changes, which takes
-    about log(n) rounds. The sides that are joined are both written tables, so
-    that the engine can split a hub's rows.
+    Each partition's edges become stars first, and once more when dealt to tasks of
+    `TASK_MB`; where one task held them all, that is the result. Else large-star
+    and small-star steps follow in turn until nothing changes, which takes about
+    log(n) rounds. The sides that are joined are both written tables, so that the
+    engine can split a hub's rows.
     """
     ship(edges.sparkSession)
     e = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     e = cut(e.mapInArrow(_forest, "a long, b long").where("a != b").distinct(), "edges")
+    tasks = int(size_mb(e) / TASK_MB) + 1
+    e = cut(e.repartition(tasks).mapInArrow(_forest, "a long, b long").where("a != b"), "edges")
     state = None
     while True:
-        new = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        new = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() if tasks > 1 else state
         if new == state or not new[0]:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         state = new
@@ -76,13 +83,3 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = cut(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
 
-
-def labels_of(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node) -> (node, component), with nodes that have no edge as their own."""
-    c = cut(components(edges), "components").withColumnRenamed("node", "_node")
-    return nodes.join(c, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("component", "node").alias("component"))
-
-
-def spread(n: np.ndarray | int, most: int) -> np.ndarray:
-    """Blocks of at most `most` for n."""
-    return -(-n // most)

@@ -356,7 +356,11 @@ def test_near_vectors_empty(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_mb", [4.0, 1e-4])
+def test_components(spark, monkeypatch, task_mb):
+    from lakesieve.llm import graph
+
+    monkeypatch.setattr(graph, "TASK_MB", task_mb)
     rnd = random.Random(9)
     pairs = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)] + [(i, i + 1) for i in range(500, 560)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
