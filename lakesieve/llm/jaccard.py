@@ -15,8 +15,8 @@ remain cannot reach the similarity any more. Sets that are known to be connected
 are not compared again, so that copies cost no pairs.
 
 Components over the block size are first joined in blocks with common pivots;
-then, wherever a shared segment still holds several labels, its texts outside the
-most frequent label are compared with all of them.
+then what is outside a component's most frequent label is compared with all texts
+that share a segment with it.
 
 Defined results
 ---------------
@@ -370,25 +370,37 @@ def _large(large: DataFrame, texts: DataFrame, unit, n: int, num: int, den: int,
     first = blocks.select("unit", "group", "id").unionByName(pivots.select("unit", "group", "id")).distinct()
     links = cut(first.join(texts, "id").select("unit", "group", "id", "text").groupBy("unit").applyInArrow(unit, "a long, b long"), "links")
     label = cut(components(links), "label").select(F.col("node").alias("id"), F.col("component").alias("label"))
-    label = cut(large.select("id").join(label, "id", "left").select("id", F.coalesce("label", "id").alias("label")), "labels")
-
-    # 2: the segments that these texts share; where one holds several labels, all outside its most frequent label meet all
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                s = shingle_set(b.column("text")[k].as_buffer().to_pybytes() if b.column("text")[k].is_valid else b"", n)
-                if len(s):
-                    sig = signatures(s, num, den).view(np.int64)
-                    yield pa.RecordBatch.from_pydict({"sig": pa.array(sig), "id": pa.array(np.full(len(sig), b.column("id")[k].as_py(), np.int64)), "label": pa.array(np.full(len(sig), b.column("label")[k].as_py(), np.int64))})
+    label = cut(large.select("id", "group").join(label, "id", "left").select("id", "group", F.coalesce("label", "id").alias("label")), "labels")
+    main = label.groupBy("group", "label").count().groupBy("group").agg(F.max(F.struct("count", "label")).alias("top"), F.count("*").alias("labels"))
+    main = cut(main.where("labels > 1").select("group", F.col("top.label").alias("main")), "main")
+    label = cut(label.join(main, "group").select("id", "label", (F.col("label") != F.col("main")).alias("left")), "labels")
+    if label.isEmpty():
+        return links
 
-    shared = cut(texts.join(label, "id").mapInArrow(sign, "sig long, id long, label long").distinct(), "segments")
-    per = shared.groupBy("sig", "label").agg(F.count("*").alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"))
-    per = per.groupBy("sig").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("m"), F.count("*").alias("labels"), F.sum("h").alias("h"))
+    # 2: texts outside their component's most frequent label meet all that share a segment with them
+    def sign(bitmap):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for node, tag, data in zip(b.column("id").to_pylist(), b.column("label").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                    s = shingle_set(data or b"", n)
+                    if len(s):
+                        sig = signatures(s, num, den).view(np.int64)
+                        sig = sig if bitmap is None else sig[filter_hits(bitmap.value, sig)]
+                        yield pa.RecordBatch.from_pydict({"sig": pa.array(sig), "id": pa.array(np.full(len(sig), node, np.int64)), "label": pa.array(np.full(len(sig), tag, np.int64))})
+
+        return run
+
+    signed = "sig long, id long, label long"
+    apart = cut(texts.join(label.where("left"), "id").mapInArrow(sign(None), signed).distinct().withColumn("left", F.lit(True)), "segments")
+    bitmap = texts.sparkSession.sparkContext.broadcast(build_filter(apart.select("sig")))
+    others = texts.join(label.where("not left"), "id").mapInArrow(sign(bitmap), signed).distinct().withColumn("left", F.lit(False))
+    shared = cut(apart.unionByName(others), "segments")
+    per = shared.groupBy("sig").agg(F.count("*").alias("m"), F.count_if("left").alias("outside"), F.min("label").alias("l0"), F.max("label").alias("l1"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("h"))
     # segments with the same members tell the same
-    open_ = cut(per.where("labels > 1").groupBy("h", "m").agg(F.min(F.struct("sig", "top")).alias("s")).select("s.sig", F.col("s.top.label").alias("main"), "m", (F.col("m") - F.col("s.top.c")).alias("outside")), "open")
+    open_ = cut(per.where("outside > 0 and l0 <> l1").groupBy("h", "m").agg(F.min(F.struct("sig", "outside")).alias("s")).select("s.sig", "m", "s.outside"), "open")
     if open_.isEmpty():
         return links
-    at = shared.join(open_, "sig").withColumn("left", F.col("label") != F.col("main"))
+    at = shared.join(open_, "sig")
     at = at.withColumn("kl", F.expr(f"cast(ceil(outside / {block}) as bigint)")).withColumn("kr", F.expr(f"cast(ceil(m / {block}) as bigint)"))
     lefts = at.where("left").select("sig", "id", "label", "left", F.expr("pmod(xxhash64(id, 3), kl)").alias("i"), F.expr("explode(sequence(0L, kr - 1))").alias("j"))
     rights = at.select("sig", "id", "label", F.lit(False).alias("left"), F.expr("explode(sequence(0L, kl - 1))").alias("i"), F.expr("pmod(xxhash64(id, 4), kr)").alias("j"))
