@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from lakesieve.functions.text import unaccent
+
 # Fixed value: the line that opens a product.
 PRODUCT = r"(?:^|\s)(\d+)\)\s*Nombre de Producto\s*[:=]\s*(.+)"
 TOTAL = r"(?i)total\s+de\s+productos\s*[:=]?\s*(\d+)"
@@ -28,3 +30,29 @@ def records(lines: DataFrame, doc: str, order: str, text: str) -> DataFrame:
 
 def declared_total(text):
     return F.regexp_extract(text, TOTAL, 1).try_cast("int")
+
+
+def cell_key_value(lines, aliases: dict[str, str]):
+    """(key, value) of a cell: its first one to three lines, joined, are a known label; the shortest that fits wins."""
+    names = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+    norm = lambda c: F.trim(F.regexp_replace(F.lower(unaccent(F.lower(c))), r"[.,º\s]+", " "))
+    tried = []
+    for k in (1, 2, 3):
+        key = F.try_element_at(names, norm(F.array_join(F.slice(lines, 1, k), " ")))
+        value = F.trim(F.array_join(F.slice(lines, k + 1, 1000), " "))
+        tried.append(F.when((F.size(lines) >= k) & key.isNotNull(), F.struct(key.alias("key"), value.alias("value"))))
+    return F.coalesce(*tried)
+
+
+def header_of(line, aliases: dict[str, str]):
+    """The known label before a colon or an equals sign, or that the whole line is."""
+    names = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+    at = lambda c: F.try_element_at(names, F.trim(F.lower(unaccent(F.lower(c)))))
+    return F.coalesce(at(F.substring_index(line, ":", 1)), at(F.substring_index(line, "=", 1)), at(line))
+
+
+def completeness(found: DataFrame, declared: DataFrame, key: str) -> DataFrame:
+    """key, esperados, extraidos, razon: documents whose records are not as many as they declare."""
+    n = found.groupBy(key).agg(F.count("*").alias("extraidos"))
+    both = declared.join(n, key, "left").select(key, F.col("esperados"), F.coalesce("extraidos", F.lit(0).cast("long")).alias("extraidos"))
+    return both.where("esperados <> extraidos").withColumn("razon", F.when(F.col("extraidos") == 0, "vacio").when(F.col("extraidos") < F.col("esperados"), "incompleto").otherwise("sobran"))

@@ -93,3 +93,29 @@ def is_numeric_pager(cells: Column) -> Column:
     """Whether all cells that aren't blank are digits; false for a blank row."""
     some = F.filter(cells, lambda x: ~blank(x))
     return (F.size(some) > 0) & F.forall(some, lambda x: F.regexp_replace(x, r"[.…\s]", "").rlike(r"^\d*$"))
+
+
+# What a table says when it has no rows.
+NO_ROWS = ("no se encontraron", "no matching records")
+
+
+def is_real_row(cells: Column) -> Column:
+    """Whether a row has a cell that isn't blank and none that says there are no rows."""
+    nothing = F.exists(cells, lambda x: F.lower(x).contains(NO_ROWS[0]) | F.lower(x).contains(NO_ROWS[1]))
+    return F.exists(cells, lambda x: ~blank(x)) & ~F.coalesce(nothing, F.lit(False))
+
+
+def is_excluded(name: Column, listed: list[str]) -> Column:
+    """Whether a name holds one of the listed ones, without case."""
+    return F.exists(F.array(*[F.lit(x.upper()) for x in listed]).cast("array<string>"), lambda x: F.upper(name).contains(x))
+
+
+def stamp(df: DataFrame, column: str, now: Column) -> DataFrame:
+    """The time of a run in every row, first of the columns."""
+    return df.select(F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias(column), *[c for c in df.columns if c != column])
+
+
+def zip_pairs(names: Column, values: Column, left: str, right: str) -> Column:
+    """Parallel lists as pairs; a value that is missing is blank, a blank name drops its pair."""
+    pairs = F.transform(names, lambda x, i: F.struct(F.trim(x).alias(left), F.coalesce(F.get(values, i), F.lit("")).alias(right)))
+    return F.filter(pairs, lambda p: F.coalesce(p[left], F.lit("")) != "")

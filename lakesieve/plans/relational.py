@@ -232,3 +232,38 @@ def upsert_windows(s, d):
 
 Q["q_table_signature"] = upsert_windows
 SQL["q_table_signature"] = "SELECT conv_id, turn, coalesce(lag(md5(text)) OVER (PARTITION BY conv_id ORDER BY turn) = md5(text), false) AS igual FROM conversations"
+
+_ALIASES = {"n registro sanitario": "Registro", "marca": "Marca", "pais origen": "Pais"}
+
+
+def cell_values(s, d):
+    c = catalog(s, d).select("ord", "n", "p", "s", F.when(F.col("n") % 3 == 0, F.array(F.lit("País"), F.lit("Origen"), F.col("pais"))).when(F.col("n") % 3 == 1, F.array(F.lit("MARCA."), F.col("marca"), F.col("modelo"))).otherwise(F.array(F.lit("otro"), F.col("marca"))).alias("l"), F.concat(F.lit("Marca= "), "marca").alias("h"))
+    kv = cat.cell_key_value(F.col("l"), _ALIASES)
+    return c.select(F.coalesce(kv["key"], F.lit("-")).alias("clave"), F.coalesce(kv["value"], F.lit("-")).alias("valor"), cat.header_of(F.col("h"), _ALIASES).alias("cab")).groupBy("clave", "valor", "cab").agg(F.count("*").alias("n"))
+
+
+Q["q_cell_values"] = cell_values
+SQL["q_cell_values"] = f"WITH {CATALOG_SQL} SELECT CASE n % 3 WHEN 0 THEN 'Pais' WHEN 1 THEN 'Marca' ELSE '-' END AS clave, CASE n % 3 WHEN 0 THEN pais WHEN 1 THEN marca || ' ' || modelo ELSE '-' END AS valor, 'Marca' AS cab, CAST(count(*) AS BIGINT) AS n FROM catalog GROUP BY 1, 2, 3"
+
+
+def complete(s, d):
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("doc"), cat.declared_total(F.concat(F.lit("Total de Productos: "), (F.col("o_orderkey") % 6).cast("string"))).alias("esperados"))
+    return cat.completeness(table(s, d, "lineitem").select(F.col("l_orderkey").alias("doc")), o, "doc").groupBy("razon").agg(F.count("*").alias("n"))
+
+
+Q["q_completeness"] = complete
+SQL["q_completeness"] = "WITH x AS (SELECT o_orderkey % 6 AS e, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS g FROM orders) SELECT CASE WHEN g = 0 THEN 'vacio' WHEN g < e THEN 'incompleto' ELSE 'sobran' END AS razon, CAST(count(*) AS BIGINT) AS n FROM x WHERE e <> g GROUP BY 1"
+
+
+def bid_pairs(s, d):
+    b = bids(s, d).groupBy("acto").agg(F.sort_array(F.collect_list(F.struct("n", "p", "proveedor", "total"))).alias("b"))
+    names, prices = F.transform("b", lambda x: F.when(x["n"] == 2, " ").otherwise(x["proveedor"])), F.slice(F.transform("b", lambda x: x["n"].cast("string")), 1, 3)
+    z = reshape.zip_pairs(names, prices, "nombre", "precio")
+    real = reshape.is_real_row(F.transform(z, lambda x: x["nombre"]))
+    return b.select("acto", F.array_join(F.transform(z, lambda x: F.concat(x["nombre"], F.lit("="), x["precio"])), ";").alias("pares"), real.alias("real"), F.coalesce(reshape.is_excluded(F.get(names, F.lit(0)), ["supplier#00000001"]), F.lit(False)).alias("fuera"))
+
+
+Q["q_bid_pairs"] = bid_pairs
+SQL["q_bid_pairs"] = f"""WITH {BIDS_SQL}, x AS (SELECT acto, list({{'n': CASE WHEN n = 2 THEN '' ELSE proveedor END, 'v': CAST(n AS VARCHAR)}} ORDER BY n, p, proveedor, total) AS l FROM bids GROUP BY 1),
+z AS (SELECT acto, l, list_filter(list_transform(l, lambda y, i: {{'n': y.n, 'v': CASE WHEN i <= 3 THEN y.v ELSE '' END}}), lambda y: y.n <> '') AS z FROM x)
+SELECT acto, array_to_string(list_transform(z, lambda y: y.n || '=' || y.v), ';') AS pares, len(z) > 0 AS real, contains(upper(l[1].n), 'SUPPLIER#00000001') AS fuera FROM z"""
