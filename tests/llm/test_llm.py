@@ -8,7 +8,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from lakesieve.llm import bpe, elias_fano, embedding_dedup, exact_dedup, jaccard, langid, mixing, pieces, shingles, substring_dedup, token_files, toxicity, warc
 from lakesieve.llm.graph import components
