@@ -139,7 +139,10 @@ def _pack(sig: np.ndarray, node: np.ndarray, buckets: int) -> Iterator[tuple[int
     for k in range(buckets):
         own = order[edges[k] : edges[k + 1]]
         if len(own):
-            yield 0, k, sig[own].tobytes() + node[own].tobytes()
+            # nodes by their number among those of this array
+            table, number = np.unique(node[own], return_inverse=True)
+            number = number.astype(np.uint16 if len(table) <= 1 << 16 else np.uint32)
+            yield 0, k, np.array([len(own), len(table)], np.int64).tobytes() + sig[own].tobytes() + table.tobytes() + number.tobytes()
     if len(tie):
         yield 1, int(sig[0] % np.uint64(buckets)), tie.tobytes()
 
@@ -187,8 +190,10 @@ def candidates(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
         sigs, nodes, out, sizes = [], [], [], []
         for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist(), strict=True):
             if kind == 0:
-                sigs.append(np.frombuffer(data, np.uint64, len(data) // 16))
-                nodes.append(np.frombuffer(data, np.int64, len(data) // 16, len(data) // 2))
+                count, known = np.frombuffer(data, np.int64, 2).tolist()
+                sigs.append(np.frombuffer(data, np.uint64, count, 16))
+                table_ = np.frombuffer(data, np.int64, known, 16 + 8 * count)
+                nodes.append(table_[np.frombuffer(data, np.uint16 if known <= 1 << 16 else np.uint32, count, 16 + 8 * (count + known))])
             else:
                 (out if kind == 1 else sizes).append(np.frombuffer(data, np.int64).reshape(-1, 2))
         if sigs:
