@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakesieve.functions import dates, text
 from lakesieve.functions.text import norm_name
+from lakesieve.operators import catalog as cat
 from lakesieve.operators import detect, rules
 from lakesieve.plans.parsing import _norm
 from lakesieve.plans.views import ACTS_SQL, REQUESTS_SQL, acts, requests
@@ -108,9 +109,9 @@ Q["q_pick_date"] = pick
 SQL["q_pick_date"] = f"WITH {ACTS_SQL} SELECT id, fecha_txt AS fecha, '' AS nada FROM acts"
 
 
-def html_tables(s, d):
+def html_tables(s, d, part="id % 50 = 0"):
     """Bids as HTML tables, read back; each table's largest total."""
-    a = acts(s, d).where("id % 50 = 0").select("id", F.concat(F.lit("<p>x</p><table><tr><th>Proponente</th><th>Total</th></tr><tr><td>"), "titulo", F.lit("</td><td>"), "precio_txt", F.lit("<br></td></tr><tr><td>Total</td><td>B/. 1.50</td></tr></table>")).alias("html"))
+    a = acts(s, d).where(part).select("id", F.concat(F.lit("<p>x</p><table><tr><th>Proponente</th><th>Total</th></tr><tr><td>"), "titulo", F.lit("</td><td>"), "precio_txt", F.lit("<br></td></tr><tr><td>Total</td><td>B/. 1.50</td></tr></table>")).alias("html"))
     from lakesieve.functions.money import number
 
     rows = table_rows(a, "id", "html").where("row > 0")
@@ -120,6 +121,22 @@ def html_tables(s, d):
 Q["q_html_tables"] = html_tables
 SQL["q_html_tables"] = f"WITH {ACTS_SQL} SELECT id, CAST(0 AS INT) AS tbl, precio AS mayor, titulo AS primero FROM acts WHERE id % 50 = 0"
 
+Q["q_html_tables_whole"] = lambda s, d: html_tables(s, d, "true")
+SQL["q_html_tables_whole"] = f"WITH {ACTS_SQL} SELECT id, CAST(0 AS INT) AS tbl, precio AS mayor, titulo AS primero FROM acts"
+
+
+def unit_data(s, d):
+    """Prices and quantities of every act's code from two tables; every third act's code is in neither."""
+    line = lambda tag, *cells: F.concat(F.lit("<tr>"), *[x for c in cells for x in (F.lit(f"<{tag}>"), c if not isinstance(c, str) else F.lit(c), F.lit(f"</{tag}>"))], F.lit("</tr>"))
+    one = F.concat(line("th", "Descripción", "Precio Unitario", "Cantidad", "Unidad de Medida"), line("td", "otro", "B/. 9.00", "7", "caja"), line("td", F.concat(F.lit("Art. "), F.col("id").cast("string"), F.lit(" x")), F.when(F.col("id") % 2 == 0, F.col("precio_txt")).otherwise("-"), "3", "unidad"))
+    two = F.concat(line("th", "Especificaciones del Comprador", "Precio Referencia", "Precio Unitario", "Cantidad"), line("td", "x", F.col("precio_txt"), "2,50", "4"))
+    a = acts(s, d).select("id", F.when(F.col("id") % 3 == 0, "no hay").otherwise(F.concat(F.lit("ART. "), F.col("id").cast("string"))).alias("code"), F.concat(F.lit("<table>"), one, F.lit("</table><table>"), two, F.lit("</table>")).alias("html"))
+    return cat.unit_data(table_rows(a, "id", "html"), a.select("id", "code"), "id", "code")
+
+
+Q["q_unit_data"] = unit_data
+SQL["q_unit_data"] = f"WITH {ACTS_SQL} SELECT id, CASE WHEN id % 3 = 0 THEN 9.0 WHEN id % 2 = 0 THEN precio ELSE 2.5 END::DOUBLE AS unit, precio / 4 AS ref, CASE WHEN id % 3 = 0 THEN 7 ELSE 3 END::DOUBLE AS qty, CASE WHEN id % 3 = 0 THEN 'caja' ELSE 'unidad' END AS um FROM acts"
+
 Q["q_request_queue"] = lambda s, d: rq.queue(requests(s, d).where(F.lower("status").isin("pending", "enqueued"))).select("id", "job", "priority", "place", "behind")
 SQL["q_request_queue"] = f"WITH {REQUESTS_SQL}, q AS (SELECT *, row_number() OVER (ORDER BY priority, seq) AS place, count(*) OVER () AS t FROM requests WHERE status IN ('pending', 'enqueued')) SELECT id, job, priority, CAST(place AS INT) AS place, CAST(greatest(t - 12, 0) AS BIGINT) AS behind FROM q WHERE place <= 12"
 
