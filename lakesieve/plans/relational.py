@@ -209,11 +209,12 @@ def lookup_fuzzy(s, d):
 Q["q_catalog_lookup_fuzzy"] = lookup_fuzzy
 
 
-def dead_letter(s, d):
+
+def dead_letter(s, d, part="id % 100 = 0"):
     """A round trip through JSON texts: rejected rows come back as rows, those still rejected stay."""
     from lakesieve.sources.tables import replay
 
-    a = acts(s, d).where("id % 100 = 0").select(F.to_json(F.struct(F.lit("2025").alias("ts"), F.col("entidad").alias("sheet"), F.array(F.array(F.col("id").cast("string"), "titulo"), F.array(F.lit("x"))).alias("rows"), F.lit("error").alias("reason"))).alias("j"))
+    a = acts(s, d).where(part).select(F.to_json(F.struct(F.lit("2025").alias("ts"), F.col("entidad").alias("sheet"), F.array(F.array(F.col("id").cast("string"), "titulo"), F.array(F.lit("x"))).alias("rows"), F.lit("error").alias("reason"))).alias("j"))
     letters = a.select(F.from_json("j", "ts string, sheet string, rows array<array<string>>, reason string").alias("l")).select("l.*")
     ok, stay = replay(letters, F.col("sheet") < "J")
     return ok.select("sheet", "n", F.array_join("row", "|").alias("fila")).unionByName(stay.select("sheet", F.lit(-1).alias("n"), F.array_join(F.get("rows", F.lit(0)), "|").alias("fila")))
@@ -222,6 +223,9 @@ def dead_letter(s, d):
 Q["q_dead_letter"] = dead_letter
 SQL["q_dead_letter"] = f"WITH {ACTS_SQL}, a AS (SELECT * FROM acts WHERE id % 100 = 0) SELECT entidad AS sheet, 0 AS n, id || '|' || titulo AS fila FROM a WHERE entidad < 'J' UNION ALL SELECT entidad, 1, 'x' FROM a WHERE entidad < 'J' UNION ALL SELECT entidad, -1, id || '|' || titulo FROM a WHERE entidad >= 'J'"
 
+Q["q_dead_letter_whole"] = lambda s, d: dead_letter(s, d, "true")
+SQL["q_dead_letter_whole"] = f"WITH {ACTS_SQL} SELECT entidad AS sheet, 0 AS n, id || '|' || titulo AS fila FROM acts WHERE entidad < 'J' UNION ALL SELECT entidad, 1, 'x' FROM acts WHERE entidad < 'J' UNION ALL SELECT entidad, -1, id || '|' || titulo FROM acts WHERE entidad >= 'J'"
+
 
 def upsert_windows(s, d):
     """Change of a table's first rows from page to page, by the signature before."""

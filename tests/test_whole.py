@@ -1,7 +1,5 @@
 """Whole jobs: nothing is left out of what a query or an operator is given."""
 
-from pyspark.sql import functions as F
-
 from lakesieve.operators import catalog
 from lakesieve.plans import catalogue
 from lakesieve.sources.html_tables import table_rows
@@ -34,3 +32,8 @@ def test_unit_data(spark):
     df = spark.createDataFrame(pages, "id long, code string, html string")
     got = catalog.unit_data(table_rows(df, "id", "html"), df, "id", "code")
     assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, 6.0, 10.0, 3.0, "bolsa"), (2, 1234.5, 10.0, 2.0, "caja"), (3, 3.0, 0.0, 0.0, ""), (4, 0.0, 0.0, 0.0, ""), (5, 5.0, 0.0, 1.0, "u"), (6, -2.0, 0.0, 0.0, "u"), (7, 5.0, 4.0, 2.0, "u")]
+
+
+def test_dead_letters_of_every_act(spark):
+    got = catalogue.queries()["q_dead_letter_whole"](spark, DATA)
+    assert got.where("n <> 1").count() == orders(spark) and got.where("n = 1").count() == got.where("n = 0").count()
