@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesieve.functions.similarity import scored
+from lakesieve.functions.text import clean, ficha_digits, norm_label
 from lakesieve.operators.dedup import first_by
 from lakesieve.session import ship
+from lakesieve.sources.tables import settled
 
 
 def not_known(df: DataFrame, known: DataFrame, *keys: str) -> DataFrame:
@@ -76,21 +78,61 @@ def cascade(df: DataFrame, steps: list[tuple[DataFrame, list[tuple[str, str]]]],
     return out.select(*df.columns, step.alias("step"), *[c.alias(f) for f, c in cols.items()])
 
 
-def fuzzy_lookup(names: DataFrame, known: DataFrame, left: str, right: str, least: float, stop: tuple[str, ...] = ()) -> DataFrame:
-    """For each name the known one with the highest score of `least` or more, the first in order of equals.
+def fuzzy_lookup(names: DataFrame, known: DataFrame, left: str, right: str, least: float, stop: tuple[str, ...] = (), by: tuple[str, ...] = (), seq: str | None = None) -> DataFrame:
+    """For each name the known one with the highest score of `least` or more, the first in order (of seq, then by name) of equals.
 
-    Both sides are distinct normalised names. The known names are grouped in
-    parts that a task holds, and each part meets the names once, in Arrow batches.
+    by: columns of both sides that must be equal. Both sides are distinct normalised
+    names. The known names are grouped in parts that a task holds, and each part
+    meets the names once, in Arrow batches.
     """
     ship(names.sparkSession)
     # A score of `least` needs a shared token or a ratio of `least`;
     # as the ratio is 2 * matches / (m + n), the latter bounds how far the lengths differ.
     a, b = F.length("a"), F.length("b")
-    x = names.select(F.col(left).alias("a")).distinct().withColumn("band", F.explode(F.expr(f"sequence(cast(floor(log(greatest(length(a),1) * {least / (2 - least)}) / log(1.25)) as int), cast(floor(log(greatest(length(a),1) * {(2 - least) / least}) / log(1.25)) as int))")))
-    y = known.select(F.col(right).alias("b")).distinct().withColumn("band", F.expr("cast(floor(log(greatest(length(b), 1)) / log(1.25)) as int)"))
-    by_length = x.join(y, "band").where((2 * F.least(a, b)) / (a + b) >= least).select("a", "b")
-    word = lambda d, c: d.select(c, F.explode(F.array_distinct(F.split(c, " "))).alias("w")).where("w <> ''")
-    by_word = word(x.select("a").distinct(), "a").join(word(y.select("b"), "b"), "w").select("a", "b")
-    pairs = by_length.unionByName(by_word).distinct().withColumn("score", scored(stop)("a", "b")).where(F.col("score") >= least)
-    best = pairs.groupBy("a").agg(F.min_by(F.struct("b", "score"), F.struct((-F.col("score")).alias("s"), F.col("b"))).alias("m"))
-    return best.select(F.col("a").alias(left), F.col("m.b").alias(right), F.col("m.score").alias("score"))
+    own = known.select(*by, F.col(right).alias("b"), (F.col(seq) if seq else F.lit(0)).alias("o")).groupBy(*by, "b").agg(F.min("o").alias("o"))
+    x = names.select(*by, F.col(left).alias("a")).distinct().withColumn("band", F.explode(F.expr(f"sequence(cast(floor(log(greatest(length(a),1) * {least / (2 - least)}) / log(1.25)) as int), cast(floor(log(greatest(length(a),1) * {(2 - least) / least}) / log(1.25)) as int))")))
+    y = known.select(*by, F.col(right).alias("b")).distinct().withColumn("band", F.expr("cast(floor(log(greatest(length(b), 1)) / log(1.25)) as int)"))
+    by_length = x.join(y, [*by, "band"]).where((2 * F.least(a, b)) / (a + b) >= least).select(*by, "a", "b")
+    word = lambda d, c: d.select(*by, c, F.explode(F.array_distinct(F.split(c, " "))).alias("w")).where("w <> ''")
+    by_word = word(x.select(*by, "a").distinct(), "a").join(word(y.select(*by, "b"), "b"), [*by, "w"]).select(*by, "a", "b")
+    pairs = by_length.unionByName(by_word).distinct()
+    scores = pairs.select("a", "b").distinct().withColumn("score", scored(stop)("a", "b")).where(F.col("score") >= least)
+    best = pairs.join(scores, ["a", "b"]).join(own, [*by, "b"]).groupBy(*by, "a").agg(F.min_by(F.struct("b", "score"), F.struct((-F.col("score")).alias("s"), F.col("o"), F.col("b"))).alias("m"))
+    return best.select(*by, F.col("a").alias(left), F.col("m.b").alias(right), F.col("m.score").alias("score"))
+
+
+# Fixed value: words of names that tell nothing.
+STOP = ("s", "a", "sa", "de", "del", "la", "y")
+
+
+def catalog_lookup(df: DataFrame, known: DataFrame, code: str, name: str, aliases: str, known_code: str, known_name: str, seq: str, fields: list[str]) -> DataFrame:
+    """df with step, via and fields from the catalogue `known`, whose rows are in the order of seq.
+
+    Steps for a name: 1 code and name; 2 the name without a code; 3 the likest name
+    of the code, score 0.5 or more; 4 the name under any code; 5 the likest of all
+    names, 0.75 or more; 0 none. A key stands for its record with the most fields
+    that aren't blank. Where all fields that a name finds are blank, the aliases
+    (an array) are looked up in turn, till one finds a field: via is that alias.
+    """
+    rec = known.select(ficha_digits(F.col(known_code)).alias("_c"), norm_label(F.col(known_name)).alias("_n"), F.col(seq).alias("_s"), *[clean(F.col(f)).alias(f) for f in fields]).where("_n <> ''")
+    filled = reduce(lambda a, b: a + b, [(F.col(f) != "").cast("int") for f in fields])
+    both, every = settled(best_per_key(rec, ["_c", "_n"], filled, F.col("_s"), fields)), settled(best_per_key(rec, ["_n"], filled, F.col("_s"), fields))
+    names = settled(rec.groupBy("_c", "_n").agg(F.min("_s").alias("_s")))
+    # who asks for the same is answered once
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    rows = df.withColumn("_c", F.regexp_replace(blank(F.col(code)), r"\D", "")).withColumn("_t", blank(F.col(name))).withColumn("_al", F.coalesce(F.transform(F.col(aliases), blank), F.array().cast("array<string>")))
+    same = ["_c", "_t", "_al"]
+    tries = rows.select(*same).distinct().select(*same, F.posexplode(F.concat(F.array("_t"), "_al")).alias("_i", "_text"))
+    tries = tries.withColumn("_p", norm_label(F.col("_text")))
+    asked = settled(tries.select("_c", "_p").where("_p <> ''").distinct())
+    left = settled(asked.join(both.select("_c", F.col("_n").alias("_p")), ["_c", "_p"], "left_anti").join(both.where("_c = ''").select(F.col("_n").alias("_p")), "_p", "left_anti"))
+    near = fuzzy_lookup(left.where("_c <> ''"), names.where("_c <> ''"), "_p", "_n", 0.5, STOP, ("_c",), "_s")
+    near = settled(near.join(both, ["_c", "_n"]).select("_c", "_p", *fields))
+    far = left.join(near, ["_c", "_p"], "left_anti").join(every.select(F.col("_n").alias("_p")), "_p", "left_anti")
+    far = settled(fuzzy_lookup(far, names, "_p", "_n", 0.75, STOP, (), "_s").join(every, "_n").select("_p", *fields))
+    one = [("_p", "_n")]
+    got = cascade(asked, [(both, [("_c", "_c"), *one]), (both.where("_c = ''"), one), (near, [("_c", "_c"), ("_p", "_p")]), (every, one), (far, [("_p", "_p")])], fields)
+    told = reduce(lambda a, b: a | b, [F.col(f) != "" for f in fields])
+    found = tries.join(got, ["_c", "_p"]).where((F.col("_i") == 0) | told).groupBy(*same).agg(F.min_by(F.struct("step", "_i", "_text", *fields), F.struct((~told).alias("b"), F.col("_i"))).alias("_m"))
+    via = F.when(F.col("_m._i") > 0, F.trim("_m._text"))
+    return rows.join(found, same, "left").select(*df.columns, F.coalesce("_m.step", F.lit(0)).alias("step"), F.coalesce(via, F.lit("")).alias("via"), *[F.coalesce(f"_m.{f}", F.lit("")).alias(f) for f in fields])

@@ -6,6 +6,8 @@ swaps, by Hadoop's file system of that path.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder and read again: what follows plans from there."""
+    base = df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    path = f"{base.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_list(spark: SparkSession, path: str) -> DataFrame:
     """The first column of a headerless CSV, as text, without nulls."""
     df = spark.read.csv(path)

@@ -1,6 +1,7 @@
 """Whole jobs: nothing is left out of what a query or an operator is given."""
 
-from lakesieve.operators import catalog
+from lakesieve.functions.similarity import name_score
+from lakesieve.operators import catalog, joins
 from lakesieve.plans import catalogue
 from lakesieve.sources.html_tables import table_rows
 
@@ -37,3 +38,51 @@ def test_unit_data(spark):
 def test_dead_letters_of_every_act(spark):
     got = catalogue.queries()["q_dead_letter_whole"](spark, DATA)
     assert got.where("n <> 1").count() == orders(spark) and got.where("n = 1").count() == got.where("n = 0").count()
+
+
+def brute_lookup(cat, code, name, aliases):
+    """The reference's lookup, record by record."""
+    def one(p):
+        for hit in ({(c, n): k for c, n, k in best(lambda r: (r[0], r[1]))}, ):
+            if (code, p) in hit or ("", p) in hit:
+                return (1, hit[code, p]) if (code, p) in hit else (2, hit["", p])
+            if code and (near := top([(n, k) for (c, n), k in hit.items() if c == code], p, 0.5)):
+                return 3, near
+        names = {n: k for _, n, k in best(lambda r: r[1])}
+        return (4, names[p]) if p in names else (5, far) if (far := top(list(names.items()), p, 0.75)) else (0, ("", ""))
+
+    def best(key):
+        out = {}
+        for r in cat:
+            if key(r) not in out or sum(map(bool, r[2])) > sum(map(bool, out[key(r)][2])):
+                out[key(r)] = r
+        return list(out.values())
+
+    def top(known, p, least):
+        scores = [name_score(p, n, joins.STOP) for n, _ in known]
+        return known[scores.index(max(scores))][1] if scores and max(scores) >= least else None
+
+    first = one(name)
+    if not any(first[1]):
+        for a in aliases:
+            if a and any((got := one(a))[1]):
+                return got[0], a, got[1]
+    return first[0], "", first[1]
+
+
+def test_catalog_lookup_is_the_references(spark):
+    cat = [
+        ("12", "acme medica", ("A", "")), ("12", "acme salud norte", ("B", "")), ("12", "beta", ("", "")), ("13", "acme medica", ("C", "x")),
+        ("", "sin ficha", ("D", "")), ("13", "gamma laboratorios", ("E", "")), ("13", "delta uno", ("F", "")), ("12", "delta dos", ("", "")), ("14", "acme medica", ("", "")),
+        ("14", "delta dos", ("G", "y")), ("12", "acme medica", ("A2", "z")),
+    ]
+    asked = [
+        ("12", "acme medica", []), ("14", "acme medica", ["gamma laboratorios"]), ("99", "sin ficha", []), ("12", "acme sur", []), ("12", "gamma laboratorios", []),
+        ("99", "gamma laboratorio", []), ("12", "nadie", ["", "otro", "beta", "delta uno"]), ("12", "beta", ["nadie", "acme medica"]), ("", "acme medica", []),
+        ("99", "delta", []), ("99", "acme", []), ("12", "nadie", ["tampoco"]), ("13", "delta", []), ("99", "nadie", ["gamma laboratorios", "acme medica"]),
+    ]
+    known = spark.createDataFrame([(i, c, n.upper(), *f) for i, (c, n, f) in enumerate(cat)], "i int, c string, n string, m string, p string")
+    df = spark.createDataFrame([(i, *a) for i, a in enumerate(asked)], "id int, f string, o string, alias array<string>")
+    got = joins.catalog_lookup(df, known, "f", "o", "alias", "c", "n", "i", ["m", "p"]).orderBy("id").collect()
+    assert [(r.step, r.via, (r.m, r.p)) for r in got] == [brute_lookup(cat, *a) for a in asked]
+    assert {r.step for r in got} == {0, 1, 2, 3, 4, 5} and any(r.via for r in got)
