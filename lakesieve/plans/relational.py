@@ -199,6 +199,23 @@ SELECT CASE WHEN a.r = 1 THEN 1 WHEN o.r = 1 THEN 2 ELSE 0 END AS step, coalesce
 FROM bids b LEFT JOIN a ON a.ficha = CAST(b.p % 50 AS VARCHAR) AND a.oferente = b.proveedor LEFT JOIN o ON o.oferente = b.proveedor GROUP BY 1, 2, 3"""
 
 
+def lookup_whole(s, d):
+    """Every bid against the whole catalogue; some ask for a code or a provider that it hasn't."""
+    c = catalog(s, d)
+    both = joins.best_per_key(c, ["ficha", "oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
+    one = joins.best_per_key(c, ["oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
+    b = bids(s, d).select("acto", "n", "p", "total", F.when(F.col("n") == 2, F.concat("proveedor", F.lit("?"))).otherwise(F.col("proveedor")).alias("proveedor"), F.when(F.col("n") == 3, "x").otherwise((F.col("p") % 50).cast("string")).alias("f"))
+    got = joins.cascade(b, [(both, [("f", "ficha"), ("proveedor", "oferente")]), (one, [("proveedor", "oferente")])], ["marca", "pais"])
+    return got.groupBy("step", "marca", "pais").agg(F.count("*").alias("n"))
+
+
+Q["q_catalog_lookup_exact_whole"] = lookup_whole
+SQL["q_catalog_lookup_exact_whole"] = f"""WITH {CATALOG_SQL}, {BIDS_SQL}, q AS (SELECT CASE WHEN n = 2 THEN proveedor || '?' ELSE proveedor END AS o, CASE WHEN n = 3 THEN 'x' ELSE CAST(p % 50 AS VARCHAR) END AS f FROM bids),
+a AS (SELECT * FROM (SELECT *, {_RANK.format('ficha, oferente')} AS r FROM catalog) WHERE r = 1), o AS (SELECT * FROM (SELECT *, {_RANK.format('oferente')} AS r FROM catalog) WHERE r = 1)
+SELECT CASE WHEN a.r = 1 THEN 1 WHEN o.r = 1 THEN 2 ELSE 0 END AS step, coalesce(a.marca, o.marca, '') AS marca, coalesce(a.pais, o.pais, '') AS pais, CAST(count(*) AS BIGINT) AS n
+FROM q LEFT JOIN a ON a.ficha = q.f AND a.oferente = q.o LEFT JOIN o ON o.oferente = q.o GROUP BY 1, 2, 3"""
+
+
 def lookup_fuzzy(s, d):
     sup = table(s, d, "supplier")
     asked = sup.select(norm_name(F.concat(F.translate("s_name", "1", "l"), F.lit(" sa"))).alias("buscado"))

@@ -86,3 +86,11 @@ def test_catalog_lookup_is_the_references(spark):
     got = joins.catalog_lookup(df, known, "f", "o", "alias", "c", "n", "i", ["m", "p"]).orderBy("id").collect()
     assert [(r.step, r.via, (r.m, r.p)) for r in got] == [brute_lookup(cat, *a) for a in asked]
     assert {r.step for r in got} == {0, 1, 2, 3, 4, 5} and any(r.via for r in got)
+
+
+def test_catalog_lookup_knows_every_provider(spark):
+    got = catalogue.queries()["q_catalog_lookup_exact_whole"](spark, DATA)
+    bids = spark.read.parquet(f"{DATA}/lineitem.parquet")
+    steps = {r.step: r.n for r in got.groupBy("step").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+    # the whole catalogue holds all bids, so only altered keys are missed
+    assert steps == {0: bids.where("l_linenumber = 2").count(), 1: bids.where("l_linenumber not in (2, 3)").count(), 2: bids.where("l_linenumber = 3").count()}
