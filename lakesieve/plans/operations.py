@@ -93,7 +93,7 @@ def acts_for(s, d, code="1234"):
     a = acts(s, d).select("id", F.concat_ws(", ", F.col("id").cast("string"), (F.col("id") + 1).cast("string")).alias("f")).where(F.col("f").contains(code))
     a = a.withColumn("exact", F.exists(text.ficha_tokens(F.col("f")), lambda t: F.regexp_replace(t, r"\D", "") == code))
     some = a.agg(F.coalesce(F.bool_or("exact"), F.lit(False)).alias("some"))
-    return a.crossJoin(F.broadcast(some)).where("exact or not some").dropDuplicates(["id"]).orderBy(F.desc("id")).limit(50).select("id", "exact")
+    return a.crossJoin(F.broadcast(some)).where("exact or not some").dropDuplicates(["id"]).orderBy(F.desc("id")).select("id", "exact")
 
 
 Q["q_acts_for_ficha"] = acts_for

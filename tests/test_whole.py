@@ -94,3 +94,11 @@ def test_catalog_lookup_knows_every_provider(spark):
     steps = {r.step: r.n for r in got.groupBy("step").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
     # the whole catalogue holds all bids, so only altered keys are missed
     assert steps == {0: bids.where("l_linenumber = 2").count(), 1: bids.where("l_linenumber not in (2, 3)").count(), 2: bids.where("l_linenumber = 3").count()}
+
+
+def test_acts_for_a_code_are_all(spark):
+    from lakesieve.plans.operations import acts_for
+
+    ids = [r[0] for r in spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey").collect()]
+    want = sorted((i for i in ids if "12" in f"{i}, {i + 1}"), reverse=True)
+    assert len(want) > 50 and [r.id for r in acts_for(spark, DATA, "12").collect()] == want
