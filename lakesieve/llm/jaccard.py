@@ -117,11 +117,12 @@ def _segments(s: np.ndarray, low: int, high: int, num: int, den: int) -> list[np
 
 
 def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """All hashes by which a set may meet a similar one: of its class, and of the class below if that can hold similar sets."""
+    """All hashes by which a set may meet a similar one: of its class, and of the classes below that can hold similar sets."""
     low, high = size_class(len(s))
     out = _segments(s, low, high, num, den)
-    if low > 1 and num * len(s) <= den * (low - 1):
-        out += _segments(s, *size_class(low - 1), num, den)
+    while low > 1 and num * len(s) <= den * (low - 1):
+        low, high = size_class(low - 1)
+        out += _segments(s, low, high, num, den)
     return np.unique(np.concatenate(out))
 
 
