@@ -40,7 +40,7 @@ def cell_key_value(lines, aliases: dict[str, str]):
     tried = []
     for k in (1, 2, 3):
         key = F.try_element_at(names, norm(F.array_join(F.slice(lines, 1, k), " ")))
-        value = F.trim(F.array_join(F.slice(lines, k + 1, 1000), " "))
+        value = F.trim(F.array_join(F.slice(lines, k + 1, F.greatest(F.size(lines) - k, F.lit(0))), " "))
         tried.append(F.when((F.size(lines) >= k) & key.isNotNull(), F.struct(key.alias("key"), value.alias("value"))))
     return F.coalesce(*tried)
 

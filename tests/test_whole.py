@@ -116,3 +116,12 @@ def test_signatures_meet_across_classes():
             for _ in range(20):
                 s = np.unique(rnd.integers(0, 1 << 63, large, dtype=np.uint64))
                 assert np.intersect1d(jaccard.signatures(s, num, den), jaccard.signatures(s[:small], num, den)).size
+
+
+def test_cell_value_has_all_lines(spark):
+    from pyspark.sql import functions as F
+
+    lines = [str(i) for i in range(2500)]
+    df = spark.createDataFrame([(["Marca", *lines],), (["Marca"],), (["País", "Origen", "x"],), (["nada"],)], "l array<string>")
+    got = [r.kv and tuple(r.kv) for r in df.select(catalog.cell_key_value(F.col("l"), {"marca": "Marca", "pais origen": "Pais"}).alias("kv")).collect()]
+    assert got == [("Marca", " ".join(lines)), ("Marca", ""), ("Pais", "x"), None]
