@@ -1,0 +1,45 @@
+"""Stages of the pipeline against brute force."""
+
+import random
+
+import corpus_pipeline as pipeline
+
+
+def corpus(spark):
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        w = [rnd.choice(words) for _ in range(rnd.randrange(30, 60))]
+        rows.append((4 * i, " ".join(w)))
+        rows.append((4 * i + 1, " ".join(w).upper() if i % 3 == 0 else " ".join(w[:-1] + ["new"])))
+        if i % 4 == 0:
+            rows.append((4 * i + 2, " ".join(w)))
+    return rows, spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_exact_stage(spark):
+    rows, df = corpus(spark)
+    best = {}
+    for i, t in rows:
+        best[t.lower()] = max(i, best.get(t.lower(), i))
+    assert sorted(r.doc_id for r in pipeline.exact_dedup(spark, df, "").collect()) == sorted(best.values())
+
+
+def test_near_stage(spark):
+    rows, df = corpus(spark)
+    sets = {i: {tuple(t.lower().split()[a : a + 5]) for a in range(len(t.split()) - 4)} for i, t in rows}
+    up = {i: i for i in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if j < i and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                up[max(a, b)] = min(a, b)
+    want = sorted({find(i) for i in sets})
+    assert len(want) < len(rows) and sorted(r.doc_id for r in pipeline.near_dedup(spark, df, "").collect()) == want
