@@ -46,7 +46,8 @@ from lakesieve.llm.shingles import BASE, mix, shingle_set
 FLUSH = 1 << 20  # postings that a task packs at once
 BLOCK = 256  # sets that are compared in one unit, two blocks of them at most
 PIVOTS = 8
-TURNS = 24
+LATE = 0.02
+DEALS = 4
 
 
 # --- candidates -----------------------------------------------------------------------------------------------------
@@ -61,24 +62,26 @@ def size_class(n: int) -> tuple[int, int]:
 
 
 @lru_cache(4096)
-def plan(low: int, high: int, num: int, den: int) -> tuple[int, int]:
-    """(segments m, spare segments) for the family of the class low..high.
+def plan(low: int, high: int, num: int, den: int) -> tuple[int, int, int]:
+    """(segments m, spare segments, most that differ k) for the family of the class low..high.
 
     A similar pair whose smaller set is of the class differs in k elements at
     most and agrees on m - k segments. With m = k + 1 + spare, one of these isn't
-    empty unless both sets have more than `spare` empty segments. More spare
-    segments are shorter, fewer let more sets need another try: the cheapest.
+    empty unless both sets have more than `spare` empty segments, which sets of the
+    class's least size have most often: the fewest segments that leave these
+    a chance of less than LATE to need another deal.
     """
     k = (den - num) * high // num
     if not k:
-        return 1, 0
+        return 1, 0, 0
     best = (math.inf, k + 1, 0)
-    for spare in range(0, 2 * k + 2, max(1, k // 50)):
-        m = k + 1 + spare
-        mean = m * math.exp(-(low + high) / 2 / m)
-        again = _over(spare, mean)
-        best = min(best, (m / (1 - again) if again < 0.9 else m * 10 / (1.01 - again), m, spare))
-    return best[1:]
+    for m in range(k + 1, 4 * k + 4, max(1, k // 64)):
+        empty = m * math.exp(-low / m)
+        late = _over(m - k - 1, empty)
+        best = min(best, (m * (1 + late), m, m - k - 1))
+        if late < LATE:
+            break
+    return *best[1:], k
 
 
 def _over(n: int, mean: float) -> float:
@@ -96,11 +99,13 @@ def _segments(s: np.ndarray, low: int, high: int, num: int, den: int) -> list[np
     """Hashes of a set's segments, in the family of the class low..high.
 
     Empty segments tell nothing and aren't named. A set with more of them than the
-    plan has to spare is dealt once more by another hash, and so on.
+    plan has to spare is dealt once more by another hash. One that has too many
+    each time names the first k + 1 segments of the last deal, empty ones too: of
+    these a similar set of its kind agrees on one, whatever the elements are.
     """
-    m, spare = plan(low, high, num, den)
+    m, spare, k = plan(low, high, num, den)
     out = []
-    for turn in range(TURNS + 1):
+    for turn in range(DEALS):
         seed = mix(np.array([turn << 32 | high], np.uint64))[0]
         dealt = mix(s + seed)
         seg = (dealt >> np.uint64(33)).astype(np.int64) % m
@@ -112,7 +117,7 @@ def _segments(s: np.ndarray, low: int, high: int, num: int, den: int) -> list[np
         out.append(mix(sums + mix(here.astype(np.uint64) + seed)))
         if m - len(here) <= spare:
             return out
-    out.append(mix(np.setdiff1d(np.arange(m), here).astype(np.uint64) + seed))
+    out.append(mix(np.setdiff1d(np.arange(k + 1), here).astype(np.uint64) + seed))
     return out
 
 
