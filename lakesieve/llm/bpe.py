@@ -169,7 +169,7 @@ class TextEncoder:
         self.decimal = {i: str(i).encode() for i in self.bpe.bytes_of}
         self.limit = limit
         self.tokens: dict[str, bytes] = {}
-        self.pieces = PieceCache(self._pieces, limit // 3)
+        self.pieces = PieceCache(self._pieces, self.width, limit // 3)
 
     def _pieces(self, pieces: list[str]) -> Iterator[bytes]:
         found = [split_plainly(p) or self.pattern.findall(p) for p in pieces]
@@ -199,8 +199,9 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        for values in self.pieces.values(texts):
-            yield np.frombuffer(b"".join(values), self.width)
+        flat, bounds = self.pieces.ids(texts)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            yield flat[a:b]
 
     def joined(self, ids: list[int]) -> bytes:
         """Decimal ids, joined by commas."""
