@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesieve.llm.common import ship
+from lakesieve.llm.common import ship, some_rows
 from lakesieve.llm.pieces import PieceCache, by_volume, split_plainly
 
 
@@ -229,7 +229,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(_place(vocabulary), pattern)
-        for b in batches:
+        for b in some_rows(batches, 4000):
             strings = [x or "" for x in b.column("text").to_pylist()]
             rows = by_volume(list(range(len(strings))), map(len, strings))
             for run in rows:

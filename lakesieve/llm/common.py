@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesieve.session import ship  # noqa: F401
@@ -19,10 +22,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir.
 
-    Only where that is unset (tests, local mode) is a temporary one chosen.
+    Only in local mode, where the driver and the executors are one process, is a
+    temporary one chosen where that is unset; on a cluster, each executor would
+    write to its own disk.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + os.path.join(tempfile.gettempdir(), f"lakesieve-{spark.sparkContext.applicationId}")
         spark.conf.set("spark.checkpoint.dir", at)
         spark.sparkContext.setCheckpointDir(at)
@@ -33,6 +40,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def named(column: str) -> Column:
+    """A top-level column by its very name, which may hold dots and backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """df written to the shared folder and read back: lineage ends here, and a
     lost executor costs nothing before this point."""
@@ -58,6 +70,21 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what is made of one is small; what they held is given back at the end."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that Arrow and the C library hold free goes back to the system: a Python worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 # A fixed-size filter over hashes: at most 2^26 bits (8 MiB) whatever the data.
 FILTER_BITS = 1 << 26
 _BITS = 1 << 15  # of one row of Spark's bitmaps

@@ -14,7 +14,8 @@ null text or no letter   `und`, score 0, rejected
 nothing to learn from    `und`, score 0, rejected
 null lang                not learned from, but predicted like any other
 null id                  not learned from, not held out
-repeated rows            one output row per input row
+repeated rows            one output row per input row; of rows that share an id one is learned from
+ties of centroids        the first language by name, the first of its centroids
 empty table              empty result
 other columns            ignored
 """
@@ -120,20 +121,26 @@ def _count_rows(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, h long, counts binary")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800, clusters: int = 4) -> Centroids | None:
-    """Fitted on at most per_language texts of each language, of rows that aren't held out."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800, clusters: int = 4, languages: int = 500) -> Centroids | None:
+    """Fitted on at most per_language texts of each language, of rows that aren't held out.
+
+    The `languages` languages with the most rows are learned (of equally many, the
+    first by name), so that what is collected and broadcast is bounded even where
+    lang is free text. Of rows that share an id and a language, one is learned from.
+    """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    seen = rows.groupBy("lang").count().collect()  # a row for each language
+    seen = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not seen:
         return None
     limit = [(r["lang"], math.ceil(min(1.0, per_language / r["count"]) * (1 << 30))) for r in seen]
-    # a row for each language: what is broadcast does not grow with the texts
+    # `languages` rows at most: what is broadcast does not grow with the texts
     limits = spark.createDataFrame(limit, "lang string, most long")
-    picked = rows.withColumn("h", F.expr(f"pmod(xxhash64(id), {1 << 30})")).join(F.broadcast(limits), "lang").where("h < most").select("text", "lang", "h")
-    got = sorted(_count_rows(picked.where(F.col("text").isNotNull())).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["counts"])))
+    picked = rows.withColumn("h", F.expr(f"pmod(xxhash64(id), {1 << 30})")).join(F.broadcast(limits), "lang").where("h < most and text is not null")
+    picked = picked.groupBy("lang", "id", "h").agg(F.min(F.struct(F.xxhash64("text").alias("k"), F.col("text").alias("text"))).alias("one"))
+    got = sorted(_count_rows(picked.select("one.text", "lang", "h")).collect(), key=lambda r: (r["lang"], r["h"], bytes(r["counts"])))
     own: dict[str, list] = {}
     for r in got:
         own.setdefault(r["lang"], []).append(np.frombuffer(bytes(r["counts"]), "<i4"))

@@ -4,10 +4,12 @@ Targets come from the sources' weights by water filling: each source gets its
 weight's share of all words, but ``max_repeat`` times its own size at most; what
 is over goes to the others by weight. A source whose target is r times its size
 takes floor(r) certain copies of every document. The rest is a fixed-size sample
-with inclusion probability p = r - floor(r) (times a document's own weight, where
-one is given): documents are ranked by random odds over inclusion odds,
-``(u / (1-u)) / (p / (1-p))``, and taken in that order up to the words that are
-still wanted, to the nearest document. ``u`` is a hash of the id and the seed, so
+with unequal inclusion probabilities: a document's inclusion odds are p / (1-p) for
+p = r - floor(r), times its own weight where a column of weights is given.
+Documents are ranked by random odds over inclusion odds,
+``(u / (1-u)) / (weight * p / (1-p))``, and taken in that order up to the words
+that are still wanted, to the nearest document. ``u`` is a hash of the id and the
+seed; rows that share an id stand by their size and a hash of the text, so that
 reruns agree. DataFrame operations only.
 
 No source is ever ordered as a whole: the place of the cut is found by counting
@@ -20,6 +22,7 @@ null text            size 0, taken 0
 null source          a source of its own, after all others
 null id              hashed as the empty text
 repeated rows        each is a row of its own; equal ids share a random number
+weights              null or not above 0: inclusion odds of 0, taken after all others
 empty table          empty result
 other columns        ignored
 """
@@ -30,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lakesieve.llm.common import WORD, cut
+from lakesieve.llm.common import WORD, cut, named
 
 LEVELS, BITS = 3, 8
 
@@ -62,10 +65,14 @@ def targets(sources: DataFrame, max_repeat: int = 3, weights: tuple[int, ...] =
     return t.withColumn("level", level).select("source", "source_size", F.when(F.col("level") * F.col("w") < F.col("cap"), F.col("level") * F.col("w")).otherwise(F.col("cap")).alias("target"))
 
 
-def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeat: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix-1", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, copies, taken, and the columns of keep."""
-    kept = [F.col(c).alias(f"keep_{c}") for c in keep]
-    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), uniform(F.col(id_col), seed).alias("u"), *kept)
+def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeat: int = 3, weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix-1", keep: tuple[str, ...] = (), weight_col: str | None = None) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, copies, taken, and the columns of keep.
+
+    weight_col: how many times a document's inclusion odds are those of the others of its source; 1 without it.
+    """
+    kept = [named(c).alias(f"keep_{c}") for c in keep]
+    weight = F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight_col else F.lit(1.0)
+    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), uniform(F.col(id_col), seed).alias("u"), weight.alias("weight"), F.xxhash64(F.col(text_col)).alias("tie"), *kept)
     base = cut(base, "mix")
     sources = targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), max_repeat, weights)
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -86,19 +93,20 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         past = F.lit(1 << (BITS * level)).cast("long")
         sources = cut(at.select("source", "source_size", "target", "whole", "p", "rest", F.coalesce("_lo", past).alias("lo"), F.coalesce("_start", "start").alias("start")), "sources")
         ranked = _ranked(base, sources)
-    order = W.partitionBy("source").orderBy("v", "id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    order = W.partitionBy("source").orderBy("v", "id", "size", "tie").rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = ranked.where((F.col("place") == F.col("lo")) & (F.col("p") > 0)).withColumn("mid", F.col("start") + F.sum("size").over(order) - F.col("size") / 2)
     edge = edge.withColumn("extra", (F.col("mid") <= F.col("rest")).cast("long"))
     sure = ranked.where(~((F.col("place") == F.col("lo")) & (F.col("p") > 0))).withColumn("extra", ((F.col("place") < F.col("lo")) & (F.col("p") > 0)).cast("long"))
     out = sure.unionByName(edge.drop("mid")).withColumn("copies", F.col("whole") + F.col("extra"))
-    return out.select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col(f"keep_{c}").alias(c) for c in keep])
+    return out.select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[named(f"keep_{c}").alias(c) for c in keep])
 
 
 def _ranked(base: DataFrame, sources: DataFrame) -> DataFrame:
     """base with its source's state, the rank v in (0, 1) and its place among 256^LEVELS."""
     s = sources.withColumnRenamed("source", "_source")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    v = F.when(F.col("p") > 0, odds / (1 + odds)).otherwise(F.lit(0.0))
+    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")) * F.col("weight"))
+    # odds / (1 + odds) puts the rank between 0 and 1; without a chance it is 1
+    v = F.when((F.col("p") > 0) & (F.col("weight") > 0), odds / (1 + odds)).when(F.col("p") > 0, F.lit(1.0)).otherwise(F.lit(0.0))
     top = 1 << (BITS * LEVELS)
     place = F.least(F.floor(F.col("v") * F.lit(float(top))), F.lit(top - 1)).cast("long")
     return base.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("v", v).withColumn("place", place)

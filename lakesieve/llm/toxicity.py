@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesieve.llm.common import ship
+from lakesieve.llm.common import named, ship, some_rows
 
 BITS = 1 << 17
 TRIM = ".,;:!?|%&$#*()[]{}\"'«»“”¡¿-_"
@@ -155,7 +155,7 @@ def fit_chain(found: Found, labels: np.ndarray, fold: np.ndarray, categories: li
 class Scorer:
     """The chain over texts, word by word; what a word turns on is found once while it is in use."""
 
-    def __init__(self, chain: Chain, limit: int = 400_000):
+    def __init__(self, chain: Chain, limit: int = 200_000):
         self.chain, self.limit = chain, limit
         self.used = np.unique(np.concatenate([m.bits for m in chain.models] or [np.zeros(0, np.int64)]))
         self.at = np.full(BITS, -1)
@@ -206,7 +206,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
             bits = pa.array([text_bits(t) for t in b.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_pydict({"h": b.column("h"), **{n: b.column(n) for n in names}, "bits": bits})
 
-    picked = picked.select("text", F.xxhash64("_id").alias("h"), *names).limit(2 * sample)  # repeated ids
+    # Of rows that share an id, the text with the least hash is learned from: one row an id, `sample` at most.
+    picked = picked.groupBy("_id", *names).agg(F.min(F.struct(F.xxhash64("text").alias("k"), F.col("text").alias("text"))).alias("one"))
+    picked = picked.select("one.text", F.xxhash64("_id").alias("h"), *names)
     got = picked.mapInArrow(run, "h long, " + ", ".join(f"`{n}` int" for n in names) + ", bits binary").collect()
     got.sort(key=lambda r: (r["h"], bytes(r["bits"])))
     y = np.array([[r[n] for n in names] for r in got], np.float64).reshape(-1, len(names))
@@ -221,16 +223,16 @@ def classify(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: st
     shared = spark.sparkContext.broadcast(chain)
     names = [f"p_{c}" for c in chain.categories]
     others = [c for c in keep if c != text_col]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"keep_{c}") for c in others])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[named(c).alias(f"keep{k}") for k, c in enumerate(others)])
     carried = [f for f in rows.schema.fields if f.name != "text" or text_col in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(shared.value)
-        for b in batches:
+        for b in some_rows(batches):
             p = np.array([score(t) for t in b.column("text").to_pylist()], np.float64).reshape(-1, len(names))
             out = {f.name: b.column(f.name) for f in carried} | {n: pa.array(p[:, k]) for k, n in enumerate(names)}
             yield pa.RecordBatch.from_pydict(out | {"toxic": pa.array(p[:, -1] >= shared.value.threshold)})
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + [f"`{n}` double" for n in names] + ["`toxic` boolean"])
     out = rows.mapInArrow(run, schema)
-    return out.select("id", *[F.col(f"`{n}`") for n in names], "toxic", *[F.col("text" if c == text_col else f"`keep_{c}`").alias(f"keep_{c}") for c in keep])
+    return out.select("id", *[F.col(f"`{n}`") for n in names], "toxic", *[F.col("text" if c == text_col else f"keep{others.index(c)}").alias(f"keep_{c}") for c in keep])

@@ -7,7 +7,7 @@ globally ordered capture histories. The index then says where to read.
 
 Defined results
 ---------------
-null payload         empty; null url: the empty url
+null payload         empty; null url: the empty url; null date: the default one
 null id              a capture like any other; never what a revisit refers to
 equal payloads       of `least` bytes or more: the largest id is the response, others
                      revisit it; of repeated rows with that id one is the response
@@ -102,9 +102,10 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2] if fields["warc-type"] == "response" else block
 
 
-def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000) -> DataFrame:
-    """id, url, payload, n, digest, kind, refers of every page."""
-    p = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
+def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 1000, date_col: str | None = None, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+    """id, url, date, payload, n, digest, kind, refers of every page; date_col: when it was captured, `date` where there is none."""
+    when = F.coalesce(F.date_format(F.col(date_col), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(date)) if date_col else F.lit(date)
+    p = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), when.alias("date"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("n", F.length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
     small = cut(p.select("id", "digest", "n").where(F.col("n") >= least), "digests")
     groups = cut(small.groupBy("digest", "n").agg(F.max("id").alias("refers"), F.count("*").alias("c")).where("c > 1").drop("c"), "payloads")
@@ -113,10 +114,10 @@ def decide(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payl
     later = cut(later, "decided").select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("n").alias("_n"), "refers")
     rows = p.join(later, F.expr("id <=> _id and digest = _digest and n = _n"), "left")
     revisit = F.col("refers").isNotNull() & ~F.col("id").eqNullSafe(F.col("refers"))
-    return rows.select("id", "url", "payload", "n", "digest", F.when(revisit, "revisit").otherwise("response").alias("kind"), F.when(revisit, F.col("refers")).alias("refers"))
+    return rows.select("id", "url", "date", "payload", "n", "digest", F.when(revisit, "revisit").otherwise("response").alias("kind"), F.when(revisit, F.col("refers")).alias("refers"))
 
 
-def write_archives(decided: DataFrame, date: str = "1970-01-01T00:00:00Z", level: int = 1) -> DataFrame:
+def write_archives(decided: DataFrame, level: int = 1) -> DataFrame:
     """Writes one archive a task; returns the runs: key, date, id, path, offset, length, in each run's order."""
     spark = decided.sparkSession
     ship(spark)
@@ -128,7 +129,7 @@ def write_archives(decided: DataFrame, date: str = "1970-01-01T00:00:00Z", level
         path = f"{base}/{uuid.uuid4().hex}.warc.gz"  # each attempt's own: what a lost one left is in no index
         captures, out, offset = [], None, 0
         for b in batches:
-            for name, url, payload, n, digest, kind, refers in zip(*[b.column(c).to_pylist() for c in ("id", "url", "payload", "n", "digest", "kind", "refers")], strict=True):
+            for name, url, date, payload, n, digest, kind, refers in zip(*[b.column(c).to_pylist() for c in ("id", "url", "date", "payload", "n", "digest", "kind", "refers")], strict=True):
                 out = out or fs.open_output_stream(path, compression=None, buffer_size=1 << 20)
                 packer = zlib.compressobj(level, wbits=31)
                 data = packer.compress(_record(kind, "" if name is None else str(name), url, date, digest, payload, n, None if refers is None else str(refers))) + packer.flush()
@@ -153,15 +154,23 @@ def merge_index(runs: DataFrame) -> DataFrame:
     dealt = runs.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list[tuple]] = {}
-        part = 0
+        runs: list[list[pa.RecordBatch]] = []
+        before, part = None, 0
         for b in batches:
-            for key, date, name, path, offset, length, part in zip(*[b.column(c).to_pylist() for c in ("key", "date", "id", "path", "offset", "length", "part")], strict=True):
-                slices.setdefault(path, []).append((key, date, name is not None, name or 0, path, offset, length))
-        for s in slices.values():
-            s.sort()  # a slice comes in order but for the blocks it was fetched in; sorting ordered runs is linear
-        rows: list[tuple] = []
-        for k, row in enumerate(LoserTree([iter(s) for s in slices.values()])):
+            rows, first = _captures(b), 0
+            part = b.column("part")[0].as_py() if b.num_rows else part
+            for i, row in enumerate(rows):
+                # A run goes on while its archive is the same and nothing falls back: what was sorted is never sorted again.
+                if before is None or row[4] != before[4] or row < before:
+                    if runs and i > first:
+                        runs[-1].append(b.slice(first, i - first))
+                    runs.append([])
+                    first = i
+                before = row
+            if runs and b.num_rows > first:
+                runs[-1].append(b.slice(first))
+        rows = []
+        for k, row in enumerate(LoserTree([_walk(r) for r in runs])):
             rows.append((row[0], row[1], row[3] if row[2] else None, *row[4:], part, k))
             if len(rows) == 10_000:
                 yield _index(rows)
@@ -172,6 +181,19 @@ def merge_index(runs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(merge, "key string, date string, id long, path string, offset long, length long, part int, place long")
 
 
+def _captures(b: pa.RecordBatch) -> list[tuple]:
+    """A batch's captures as what they are ordered by: key, date, whether there is an id, the id, path, offset; and length."""
+    columns = [b.column(c).to_pylist() for c in ("key", "date", "id", "path", "offset", "length")]
+    return [(key, date, name is not None, name or 0, path, offset, length) for key, date, name, path, offset, length in zip(*columns, strict=True)]
+
+
+def _walk(run: list[pa.RecordBatch], step: int = 64) -> Iterator[tuple]:
+    """A run's captures, a few at a time: the rest stays packed."""
+    for b in run:
+        for i in range(0, b.num_rows, step):
+            yield from _captures(b.slice(i, step))
+
+
 def _index(rows: list[tuple]) -> pa.RecordBatch:
     key, date, name, path, offset, length, part, place = zip(*rows, strict=True)
     return pa.RecordBatch.from_pydict({"key": pa.array(key, pa.string()), "date": pa.array(date, pa.string()), "id": pa.array(name, pa.int64()), "path": pa.array(path, pa.string()), "offset": pa.array(offset, pa.int64()), "length": pa.array(length, pa.int64()), "part": pa.array(part, pa.int32()), "place": pa.array(place, pa.int64())})

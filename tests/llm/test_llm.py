@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lakesieve.llm import bpe, elias_fano, embedding_dedup, exact_dedup, jaccard, langid, mixing, pieces, shingles, substring_dedup, token_files, toxicity, warc
+from lakesieve.llm import bpe, elias_fano, embedding_dedup, exact_dedup, jaccard, langid, mixing, shingles, substring_dedup, token_files, toxicity, warc
 from lakesieve.llm.graph import components
 
 ODD = [None, "", " ", "a", "A b c", "a b c", "a  b   c ", "\x1c \x1c a", "é ß 日本語 テスト", "x" * 3000, "<|endoftext|> hi", "don't  we'll", "\n\n \t"]
@@ -151,14 +151,26 @@ def test_library_pieces(public, strings):
 
     path = public.path("byte_bpe_50k.json")
     lib, own = tokenizers.Tokenizer.from_file(path), token_files.LibraryEncoder(path)
-    for t, got in zip(strings, own.encode(strings), strict=True):
-        assert np.frombuffer(got, own.width).tolist() == lib.encode(t, add_special_tokens=False).ids
+    for k in range(0, len(strings), 150):
+        part = strings[k : k + 150]
+        ids, bounds = own.encode(part)
+        for t, a, b in zip(part, bounds, bounds[1:], strict=False):
+            assert ids[a:b].tolist() == lib.encode(t, add_special_tokens=False).ids
+    assert own.encode([])[0].size == 0
 
 
-def test_pieces_join_back(strings):
-    for t in strings:
-        whole, rest = pieces.cut_safely(t)
-        assert "".join(whole) + "".join(" " + r for r in rest) == t
+def test_library_pieces_of_many_words(public):
+    """Words that are encoded together, in a small cache, and a very long text."""
+    import tokenizers
+
+    rnd = random.Random(12)
+    path = public.path("byte_bpe_50k.json")
+    lib, own = tokenizers.Tokenizer.from_file(path), token_files.LibraryEncoder(path, limit=50)
+    texts = [" ".join("".join(rnd.choice("abcé日,.'") for _ in range(rnd.randrange(1, 9))) for _ in range(n)) for n in (1, 400, 30_000, 200_000, 0)]
+    ids, bounds = own.encode(texts)
+    assert len(bounds) == len(texts) + 1
+    for t, a, b in zip(texts, bounds, bounds[1:], strict=False):
+        assert ids[a:b].tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
 def test_elias_fano():
@@ -284,7 +296,7 @@ def brute_components(rows, n, num, den):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize(("n", "num", "den", "block"), [(3, 9, 10, 24), (5, 4, 5, 200)])
+@pytest.mark.parametrize(("n", "num", "den", "block"), [(3, 9, 10, 24), (5, 4, 5, 200), (2, 1, 2, 16)])
 def test_jaccard(spark, n, num, den, block):
     rnd = random.Random(6)
     words = [f"w{i}" for i in range(200)]
@@ -301,22 +313,57 @@ def test_jaccard(spark, n, num, den, block):
     assert {r.id: (r.n_shingles, r.component) for r in got} == brute_components(rows, n, num, den)
 
 
+@pytest.mark.parametrize("grams", [400, 10**9])
+def test_jaccard_of_chained_texts(spark, monkeypatch, grams):
+    """A long chain of texts that share rare words with the next: one component to search, many to find, by either way."""
+    monkeypatch.setattr(jaccard, "BLOCK_GRAMS", grams)
+    rnd = random.Random(18)
+    rows = []
+    for i in range(300):
+        w = [f"v{i}x{k}" for k in range(12)] + [f"v{i + 1}x{k}" for k in range(12)]
+        rows.append((i, " ".join(w)))
+        if i % 5 == 0:
+            w[rnd.randrange(24)] = "other"
+            rows.append((1000 + i, " ".join(w)))
+    got = jaccard.jaccard_components(docs(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(3), 1, 4, 5, block=40).collect()
+    assert {r.id: (r.n_shingles, r.component) for r in got} == brute_components(rows, 1, 4, 5)
+
+
 def test_jaccard_nulls_repeats_empty(spark):
     got = jaccard.jaccard_components(docs(spark, ["a b c", "a b c", "a b c", None], [None, 4, 4, 5])).collect()
     assert Counter((r.id, r.n_shingles, r.component) for r in got) == Counter([(None, 1, None), (4, 1, 4), (4, 1, 4), (5, 0, 5)])
     assert jaccard.jaccard_components(empty(spark)).count() == 0
 
 
-def test_signatures_meet():
-    """Sets at the very threshold share a signature, for sizes of all classes."""
+def test_prefixes_meet():
+    """Sets at the very threshold share an n-gram of their prefixes, whatever the groups, for sizes of all kinds."""
     rnd = np.random.default_rng(7)
-    for num, den in ((9, 10), (4, 5)):
-        for size in (1, 2, 5, 9, 17, 40, 90, 333, 1500):
-            for _ in range(20):
-                s = rnd.integers(0, 1 << 63, size, dtype=np.uint64)
-                drop = (den - num) * size // den  # |r| / |s| >= num / den
-                r = np.unique(s[drop:])
-                assert np.intersect1d(jaccard.signatures(np.unique(s), num, den), jaccard.signatures(r, num, den)).size
+    for num, den in ((9, 10), (4, 5), (1, 2)):
+        for size in (1, 2, 3, 4, 5, 9, 17, 40, 90, 333):
+            for _ in range(10):
+                words = [b"%d" % x for x in rnd.integers(0, 1 << 40, size)]
+                cut_off = (den - num) * size // den
+                texts = [b" ".join(words), b" ".join(words[cut_off:]), b" ".join(words[: size // 3])]
+                groups = [jaccard.Group([k], [t], 1, 4) for k, t in enumerate(texts)]
+                asked = {}
+                for g, group in enumerate(groups):
+                    for bucket, data in group.ask():
+                        asked.setdefault(bucket, []).append((g, data))
+                answers = {0: [], 1: [], 2: []}
+                for bucket, rows in asked.items():
+                    for (g, _), level in zip(rows, jaccard.how_common([d for _, d in rows]), strict=True):
+                        answers[g].append((bucket, level))
+                first, second = (groups[g].prefixes(answers[g], num, den)[0] for g in (0, 1))
+                assert np.intersect1d(first, second).size
+                assert max(len(first), len(second)) <= size - -(-num * size // den) + 1
+
+
+def test_grams_of_one_text_lead_nowhere():
+    group = jaccard.Group([1, 2, 3, 4], [b"a b c d e f", b"a b c d e f", b"a x y z q p", None], 1, 4)
+    assert group.same == [(2, 1)] and group.sizes == [(1, 6), (2, 6), (3, 6), (4, 0)] and group.nodes == [1, 3]
+    rows = list(group.ask())
+    answers = [(k, level) for k, d in rows for level in jaccard.how_common([d])]
+    assert len(group.prefixes(answers, 4, 5)[0]) == 0 and len(group.prefixes(answers, 1, 6)[0]) == 2
 
 
 def test_windows_hash_words_not_spaces():
@@ -416,3 +463,157 @@ def test_toxicity_chain(spark):
     assert got[0].keep_text == rows[0][1] and got[0].keep_id == 7
     none = toxicity.train(df, lab.limit(0), {"toxic": "toxic"})
     assert toxicity.classify(df, none).where("toxic").count() == 0
+
+
+def test_toxicity_against_brute_force(spark):
+    """Every probability, computed again text by text from the fitted weights without the operator's caches and columns."""
+    import math
+
+    rnd = random.Random(12)
+    words = [f"word{i}" for i in range(200)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(30)) + (" vile vileness" if i % 6 == 0 else "") + (" junk" if i % 5 == 0 else "")) for i in range(400)]
+    lab = spark.createDataFrame([(i, int(i % 5 != 0), int(i % 6 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    rows += [(1000 + i, t) for i, t in enumerate(ODD)] + [(2000, "word1 " * 200_000 + "vileness"), (5, rows[5][1])]
+    df = docs(spark, [t for _, t in rows], [i for i, _ in rows])
+    chain = toxicity.train(df, lab, {"low_quality": "1 - quality", "toxic": "toxic"})
+    assert len(chain.models[1].bits) and len(chain.models[1].earlier) == 1
+    got = Counter((r.id, round(r.p_low_quality, 5), round(r.p_toxic, 5), r.toxic) for r in toxicity.classify(df, chain).collect())
+    want = Counter()
+    for i, t in rows:
+        on = {b for w in (t or "").lower().split() for b in toxicity.word_bits(w)}
+        p = []
+        for m in chain.models:
+            z = m.bias + sum(float(w) for b, w in zip(m.bits.tolist(), m.weights, strict=True) if b in on) + sum(float(w) * q for w, q in zip(m.earlier, p, strict=True))
+            p.append(1 / (1 + math.exp(-z)) if on else 0.0)
+        want[i, round(p[0], 5), round(p[1], 5), p[1] >= chain.threshold] += 1
+    assert got == want and any(k[0] == 2000 and k[3] for k in got)
+
+
+def test_toxicity_learns_one_row_an_id(spark):
+    df = docs(spark, ["a vile text", "a good text"] * 3, [1, 2] * 3).union(docs(spark, [None, "x"], [1, None]))
+    lab = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    a, b = (toxicity.train(d, lab, {"toxic": "toxic"}) for d in (df, df.repartition(5)))
+    assert a.models[0].bias == b.models[0].bias and a.threshold == b.threshold
+
+
+def test_language_id_against_brute_force(spark, monkeypatch):
+    """Counts by plain loops and cosines centroid by centroid; the steps of very long texts are crossed."""
+    import math
+
+    rnd = random.Random(13)
+    sound = {"aa": ["the", "ing", "and", "wh"], "bb": ["ung", "sch", "ich", "ß"]}
+    rows = [(i, " ".join("".join(rnd.choice(sound[k]) for _ in range(3)) for _ in range(12)), k) for i in range(120) for k in [rnd.choice(list(sound))]]
+    rows += [(500 + i, t, None) for i, t in enumerate(ODD)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, per_language=30, clusters=2)
+    got = {r.id: (r.lang_pred, r.score) for r in langid.identify(df, model).collect()}
+
+    def plain(t):
+        data, c = t.encode().translate(langid._FOLD, langid._DROP), [0] * langid.DIMS
+        for n in (1, 2, 3):
+            for a in range(len(data) - n + 1):
+                code = 0
+                for x in data[a : a + n]:
+                    code = code * 257 + x
+                c[((code + n) * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - langid.DIMS_BITS] += 1
+        return c
+
+    for i, t, _ in rows:
+        if not t or not any(ch.isalpha() for ch in t):
+            assert got[i] == ("und", 0.0)
+            continue
+        v = [math.log1p(c) * w for c, w in zip(plain(t), model.idf, strict=True)]
+        norm = math.sqrt(sum(x * x for x in v)) or 1
+        sims = [sum(x * float(y) for x, y in zip(v, center, strict=True) if x) / norm for center in model.centers]
+        best = max(range(len(sims)), key=lambda k: sims[k])
+        assert abs(got[i][1] - max(0.0, sims[best])) < 1e-4
+        assert got[i][0] == model.languages[model.owner[best]] or sorted(sims)[-1] - sorted(sims)[-2] < 1e-5
+    long = rows[0][1].encode() * 20
+    whole = langid.counts(long)
+    monkeypatch.setattr(langid, "STEP", 64)
+    assert (langid.counts(long) == whole).all() and (plain(long.decode()) == whole).all()
+
+
+def test_language_id_learns_bounded_rows(spark):
+    rows = [(1, "wh the and", "aa")] * 50 + [(i, f"ung sch {i}", f"l{i:02}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, languages=3)
+    assert len(model.languages) == 3 and "aa" in model.languages
+    assert langid.identify(df.withColumnRenamed("lang", "held_out"), model).count() == len(rows)
+
+
+def test_windows_cross_steps(monkeypatch):
+    words = [f"w{i % 7}".encode() for i in range(1000)]
+    whole = shingles.windows(words, 5)
+    monkeypatch.setattr(shingles, "STEP", 33)
+    assert (shingles.windows(words, 5) == whole).all()
+
+
+def test_jaccard_long_texts(spark):
+    rnd = random.Random(14)
+    w = [f"w{rnd.randrange(5000)}" for _ in range(150_000)]
+    near = list(w)
+    for k in range(0, 150_000, 100):
+        near[k] = "other"
+    got = {r.id: r.component for r in jaccard.jaccard_components(docs(spark, [" ".join(w), " ".join(near), " ".join(w[:100_000]), "short"]), 5, 4, 5).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3}
+
+
+def test_prefix_tree_of_nested_sets():
+    chain = [np.arange(n) for n in range(1, 3000)]
+    tree = jaccard.PrefixTree(chain)
+    inside = np.ones(3000, bool)
+    assert len(list(tree.matches(inside, 2999, 9, 10, lambda i: False))) == len([n for n in range(1, 3000) if 10 * n >= 9 * 2999])
+
+
+def test_mix_by_weights_and_repeats(spark):
+    rnd = random.Random(17)
+    rows = [(i % 100, " ".join("w" * rnd.randrange(1, 40)), "a" if i % 3 else "b", float(i % 2) * 8 + 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, weight double")
+    runs = [Counter((r.id, r.source, r.size, r.taken) for r in mixing.pareto_mix(df.repartition(k)).collect()) for k in (2, 7)]
+    assert runs[0] == runs[1]
+    got = mixing.pareto_mix(df.withColumn("doc_id", df.doc_id * 0).withColumn("a.b", df.weight), weight_col="weight", keep=("a.b", "weight"), seed="s").collect()
+    extra = {s: [(r.weight, r.copies - min(x.copies for x in got if x.source == s)) for r in got if r.source == s] for s in ("a", "b")}
+    assert all(r["a.b"] == r.weight for r in got)
+    heavy, light = ([c for pairs in extra.values() for w, c in pairs if w == k] for k in (9.0, 1.0))
+    assert sum(heavy) >= sum(light)
+    for s in ("a", "b"):
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 40
+
+
+def test_entries_take_whole_tables(spark):
+    """Each registered query on the smallest tables: as many rows as its table, and equal to the operators' own digests."""
+    from lakesieve.llm import registry
+
+    at = "/root/testdata/sf0.001"
+    of = {"op2": "embeddings", "op7": "pages"}
+    for name, query in registry.queries().items():
+        table = spark.read.parquet(f"{at}/{of.get(name.split('_')[0], 'documents')}.parquet")
+        assert query(spark, at).count() == table.count(), name
+
+
+def test_bpe_digests_of_the_query(spark, public):
+    import tiktoken
+
+    from lakesieve.llm import registry
+
+    at = "/root/testdata/sf0.001"
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    lib = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = Counter()
+    for r in spark.read.parquet(f"{at}/documents.parquet").collect():
+        ids = lib.encode_ordinary(r.text or "")
+        want[r.doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in registry.op6_byte_bpe(spark, at).collect()) == want
+
+
+def test_warc_runs_stay_ordered(spark):
+    """Captures of one page at several times stand in order of their dates; odd columns are ignored."""
+    from datetime import datetime
+
+    rows = [(i, f"http://h{i % 7}.org/{i % 3}", None if i % 11 == 0 else f"p{i}", datetime(2024, 1, 1 + i % 28), "x") for i in range(500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, seen timestamp, key string").repartition(9)
+    index = warc.merge_index(warc.write_archives(warc.decide(pages, date_col="seen")))
+    got = [(r.key, r.date, r.id) for r in index.orderBy("part", "place").collect()]
+    assert got == sorted(got) and len(got) == 500 and len({d for _, d, _ in got}) == 28
