@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakesieve.functions.bind import bind
 from lakesieve.functions.text import clean, norm_label
 
+# What reads as a date and as a time.
 DATES = r"\b(\d{1,2}[-/]\d{1,2}[-/]\d{2,4})\b"
 TIMES = r"\b(\d{1,2})(?::(\d{2}))?\s*([APap]\.?M\.?)?\b"
 
 
 def day_first(c: Column) -> Column:
     """d-m-y, else m-d-y, else y-m-d; with / or -; null if none fits."""
-    t = F.replace(clean(c), F.lit("/"), F.lit("-"))
-    short = t.rlike(r"^\d{1,2}-\d{1,2}-\d{2}$")
-    return F.when(short, F.coalesce(F.try_to_timestamp(t, F.lit("d-M-yy")), F.try_to_timestamp(t, F.lit("M-d-yy")))).otherwise(F.coalesce(F.try_to_timestamp(t, F.lit("d-M-yyyy")), F.try_to_timestamp(t, F.lit("M-d-yyyy")), F.try_to_timestamp(F.substring(t, 1, 10), F.lit("yyyy-MM-dd"))))
+    def read(s: Column) -> Column:
+        t = s["t"]
+        two, four = ([F.try_to_timestamp(t, F.lit(f"{x}-{y}")) for x in ("d-M", "M-d")] for y in ("yy", "yyyy"))
+        whole = F.coalesce(*four, F.try_to_timestamp(F.substring(t, 1, 10), F.lit("yyyy-MM-dd")))
+        return F.when(t.rlike(r"^\d{1,2}-\d{1,2}-\d{2}$"), F.coalesce(*two)).otherwise(whole)
+
+    return bind(read, t=F.replace(clean(c), F.lit("/"), F.lit("-")))
 
 
 def deadline(c: Column, of_range: str = "last") -> Column:
@@ -25,25 +31,45 @@ def deadline(c: Column, of_range: str = "last") -> Column:
     the last thing in the text that reads as a time, which for a bare date is its
     own month. That reading is part of the tables' meaning.
     """
-    t = F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), "–—", "--"), r"(?i)\s+a\s+", " a ")
-    found = F.regexp_extract_all(t, F.lit(DATES), 1)
-    h = F.try_element_at(F.regexp_extract_all(t, F.lit(TIMES), 1), F.lit(-1)).cast("int")
-    m = F.coalesce(F.try_element_at(F.regexp_extract_all(t, F.lit(TIMES), 2), F.lit(-1)).try_cast("int"), F.lit(0))
-    half = F.upper(F.replace(F.try_element_at(F.regexp_extract_all(t, F.lit(TIMES), 3), F.lit(-1)), F.lit("."), F.lit("")))
-    hour = F.when((half == "AM") & (h == 12), 0).when((half == "PM") & (h != 12), h % 12 + 12).otherwise(h)
-    n = F.size(found)
     last = of_range == "last"
-    base = day_first(F.when(n == 0, t).when(n >= 2, F.try_element_at(found, F.lit(-1 if last else 1))).otherwise(F.try_element_at(found, F.lit(1))))
-    hours = F.when(n == 0, 0).when(n >= 2, 23 if last else 0).otherwise(F.coalesce(hour, F.lit(23)))
-    minutes = F.when(n == 0, 0).when(n >= 2, 59 if last else 0).when(h.isNull(), 59).otherwise(m)
-    return base + F.make_dt_interval(F.lit(0), hours, minutes)
+
+    def parse(s: Column) -> Column:
+        of = lambda k: F.try_element_at(F.regexp_extract_all(s["t"], F.lit(TIMES), k), F.lit(-1))
+        half = F.upper(F.replace(of(3), F.lit("."), F.lit("")))
+        return bind(lambda x: instant(s, x), found=F.regexp_extract_all(s["t"], F.lit(DATES), 1), h=of(1).cast("int"), m=of(2).try_cast("int"), half=half)
+
+    def instant(s: Column, x: Column) -> Column:
+        found, h, half, n = x["found"], x["h"], x["half"], F.size(x["found"])
+        hour = F.when((half == "AM") & (h == 12), 0).when((half == "PM") & (h != 12), h % 12 + 12).otherwise(h)
+        day = F.when(n == 0, s["t"]).otherwise(F.try_element_at(found, F.when((n >= 2) & F.lit(last), -1).otherwise(1)))
+        hours = F.when(n == 0, 0).when(n >= 2, 23 if last else 0).otherwise(F.coalesce(hour, F.lit(23)))
+        minutes = F.when(n == 0, 0).when(n >= 2, 59 if last else 0).when(h.isNull(), 59).otherwise(F.coalesce(x["m"], F.lit(0)))
+        return day_first(day) + F.make_dt_interval(F.lit(0), hours, minutes)
+
+    return bind(parse, t=F.regexp_replace(F.translate(F.coalesce(c, F.lit("")), "–—", "--"), r"(?i)\s+a\s+", " a "))
 
 
 def date_token(c: Column) -> Column:
     """The latest full date in a text, as it stands there; the last one of equal dates, or of none that is a date."""
     tokens = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"\b\d{2}[\-/]\d{2}[\-/]\d{4}\b"), 0)
     dated = F.filter(F.transform(tokens, lambda t, i: F.struct(day_first(t).alias("d"), i.alias("i"), t.alias("t"))), lambda s: s["d"].isNotNull())
-    return F.when(F.size(tokens) == 0, "").when(F.size(dated) == 0, F.try_element_at(tokens, F.lit(-1))).otherwise(F.array_max(dated)["t"])
+    return F.when(F.size(tokens) == 0, "").otherwise(F.coalesce(F.array_max(dated)["t"], F.try_element_at(tokens, F.lit(-1))))
+
+
+def order_date(lines: Column, mark: str = "orden de compra", reach: int = 5) -> Column:
+    """The latest full date on a line that holds the mark or on those up to `reach` from there; the first of equal ones, else empty."""
+    def near(line: Column, i: Column) -> Column:
+        hit = norm_label(line).contains(mark)
+        return F.when(hit, F.transform(F.slice(lines, i + 1, reach), date_token)).otherwise(F.array().cast("array<string>"))
+
+    tokens = F.filter(F.flatten(F.transform(lines, near)), lambda t: t != "")
+    dated = F.filter(F.transform(tokens, lambda t, i: F.struct(day_first(t).alias("d"), (-i).alias("i"), t.alias("t"))), lambda s: s["d"].isNotNull())
+    return F.coalesce(F.array_max(dated)["t"], F.lit(""))
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Seconds to the millisecond."""
+    return F.round((F.unix_micros(end) - F.unix_micros(start)) / 1_000_000, 3)
 
 
 def pick_date(lines: Column, labels: list[str]) -> Column:

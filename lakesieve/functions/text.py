@@ -10,6 +10,9 @@ ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċč
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
 # Texts that stand for nothing.
 BLANKS = ("nan", "none", "null", "<na>", "n/a")
+# All of Unicode's white space, and the four separators of ASCII.
+SPACE = r"[\x1c-\x1f\p{IsWhite_Space}]"
+SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # The sentinels of the published tables.
 NOT_AVAILABLE, NOT_DETECTED = "No Disponible", "No Detectada"
 
@@ -18,9 +21,19 @@ def unaccent(c: Column) -> Column:
     return F.translate(c, ACCENTED, PLAIN)
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.btrim(c, F.lit(SPACES))
+
+
+def collapse(c: Column) -> Column:
+    """Each run of white space as one space, none at the ends."""
+    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
+
+
 def norm_txt(c: Column) -> Column:
     """Lower case, no accents, white space collapsed; null is empty."""
-    return F.regexp_replace(unaccent(F.trim(F.lower(F.coalesce(c, F.lit(""))))), r"\s+", " ")
+    return collapse(unaccent(F.lower(F.coalesce(c, F.lit("")))))
 
 
 def norm_name(c: Column) -> Column:
@@ -30,8 +43,7 @@ def norm_name(c: Column) -> Column:
 
 def clean(c: Column) -> Column:
     """Trimmed; null and the texts for nothing are empty."""
-    t = F.trim(F.coalesce(c.cast("string"), F.lit("")))
-    return F.when(F.lower(t).isin(*BLANKS), "").otherwise(t)
+    return F.regexp_replace(strip(F.coalesce(c.cast("string"), F.lit(""))), f"(?i)^(?:{'|'.join(BLANKS)})\\z", "")
 
 
 def norm_label(c: Column) -> Column:
@@ -41,8 +53,7 @@ def norm_label(c: Column) -> Column:
 
 def sanitize(c: Column) -> Column:
     """Control characters and line ends are spaces; collapsed and trimmed."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " ")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    return collapse(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x00-\x08\x0b\x0c\x0e-\x1f]", " "))
 
 
 def repair_mojibake(c: Column) -> Column:
@@ -80,6 +91,26 @@ def code_of(c: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(c, r"(?<!\d)(\d{1,6})(?!\d)", 1), "^0+(?=.)", "")
 
 
+# Fixed value: a certificate's number.
+CERTIFICATE = r"(?:[A-Z]{2,5}(?:[.\s]+[A-Z]{1,5}){0,3})(?:\s*-\s*[A-Z]{2,4})?\s*-\s*\d{1,5}\s*-\s*\d{2}\s*-\s*\d{2}(?:/(?:R|R/C))?"
+# Fixed value: the target and the argument of a page's postback.
+POSTBACK = r"__doPostBack\('([^']+)','([^']+)'\)"
+
+
+def is_certificate(c: Column) -> Column:
+    return F.coalesce(c.rlike(f"(?i)^{CERTIFICATE}$"), F.lit(False))
+
+
+def certificate(c: Column) -> Column:
+    """The first certificate number of a text, in capitals; else empty."""
+    return strip(F.regexp_extract(F.upper(F.coalesce(c, F.lit(""))), CERTIFICATE, 0))
+
+
+def postback(c: Column) -> Column:
+    """(target, argument) of a link's postback; null without one."""
+    return F.when(c.rlike(POSTBACK), F.struct(F.regexp_extract(c, POSTBACK, 1).alias("target"), F.regexp_extract(c, POSTBACK, 2).alias("argument")))
+
+
 def compose_note(*parts: Column) -> Column:
     return F.concat_ws(" | ", *[F.nullif(F.trim(p), F.lit("")) for p in parts])
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lakesieve.functions.text import clean
+from lakesieve.functions.bind import bind
+from lakesieve.functions.text import clean, strip
 
 # The path markers that an act's code follows, in the order in which they are tried.
 MARKERS = ("solicitud-de-cotizacion", "pliego-de-cargos", "acto-publico", "licitacion")
@@ -13,16 +14,25 @@ MARKERS = ("solicitud-de-cotizacion", "pliego-de-cargos", "acto-publico", "licit
 
 def unquote(c: Column) -> Column:
     """Percent-decoding; a plus stays a plus, and what can't be decoded stays as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    return bind(lambda s: F.coalesce(F.try_url_decode(F.replace(s["c"], F.lit("+"), F.lit("%2B"))), s["c"]), c=c)
 
 
-def _parts(c: Column, host: str) -> tuple[Column, Column, Column]:
-    u = F.trim(F.coalesce(c, F.lit("")))
-    u = F.when(u.startswith("/"), F.concat(F.lit(f"https://{host}"), u)).otherwise(u)
-    net = F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
-    path = F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-    fragment = F.regexp_extract(u, r"#(.*)$", 1)
-    return F.when(net == "", host).otherwise(net), F.regexp_replace(path, ";[^/]*$", ""), fragment
+def _parts(c: Column, host: str, use) -> Column:
+    """use(net, path, fragment) of a link; each is worked out once."""
+    scheme = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
+    path = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
+
+    def split(s: Column) -> Column:
+        u = s["u"]
+        return bind(
+            lambda p: use(F.when(p["net"] == "", host).otherwise(p["net"]), p["path"], p["fragment"]),
+            net=F.lower(F.regexp_extract(u, scheme, 1)),
+            path=F.regexp_replace(F.regexp_extract(u, path, 1), ";[^/]*$", ""),
+            fragment=F.regexp_extract(u, r"#(.*)$", 1),
+        )
+
+    # a link that begins with a slash is one of the portal's
+    return bind(split, u=F.regexp_replace(strip(F.coalesce(c, F.lit(""))), "^(?=/)", f"https://{host}"))
 
 
 def _squeeze(c: Column) -> Column:
@@ -34,27 +44,34 @@ def normalize_url(c: Column, host: str = "www.portal.example", domain: str = "po
 
     drop_token: a last fragment part that looks generated goes, if a marker leads the fragment.
     """
-    net, path, fragment = _parts(c, host)
-    net = F.when(net.endswith(domain) & ~net.startswith("www."), F.concat(F.lit("www."), net)).otherwise(net)
-    path = F.when(_squeeze(path) == "", "/").otherwise(_squeeze(path))
-    fragment = F.lower(_squeeze(fragment))
-    if drop_token:
-        part = F.filter(F.split(fragment, "/"), lambda x: x != "")
-        tail = F.try_element_at(part, F.lit(-1))
-        drop = (F.size(part) >= 3) & F.get(part, F.lit(0)).isin(*MARKERS) & (F.length(tail) >= 12) & tail.rlike("^[a-z0-9_=]+$")
-        fragment = F.when(drop, F.concat(F.lit("/"), F.array_join(F.slice(part, 1, F.size(part) - 1), "/"))).otherwise(fragment)
-    out = F.concat(F.lit("https://"), net, path, F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
-    return F.when(F.trim(F.coalesce(c, F.lit(""))) == "", "").otherwise(out)
+    def kept(f: Column) -> Column:
+        """The fragment without a generated end."""
+        def cut(s: Column) -> Column:
+            part, tail = s["part"], F.try_element_at(s["part"], F.lit(-1))
+            drop = (F.size(part) >= 3) & F.get(part, F.lit(0)).isin(*MARKERS) & (F.length(tail) >= 12) & tail.rlike("^[a-z0-9_=]+$")
+            return F.when(drop, F.concat(F.lit("/"), F.array_join(F.slice(part, 1, F.size(part) - 1), "/"))).otherwise(f)
+
+        return bind(cut, part=F.filter(F.split(f, "/"), lambda x: x != "")) if drop_token else f
+
+    def out(net: Column, path: Column, fragment: Column) -> Column:
+        www = F.when(net.endswith(domain) & ~net.startswith("www."), F.concat(F.lit("www."), net)).otherwise(net)
+        whole = F.concat(F.lit("https://"), www, F.coalesce(F.nullif(_squeeze(path), F.lit("")), F.lit("/")))
+        return bind(lambda s: F.concat(whole, F.coalesce(F.concat(F.lit("#"), F.nullif(kept(s["f"]), F.lit(""))), F.lit(""))), f=F.lower(_squeeze(fragment)))
+
+    return F.when(strip(F.coalesce(c, F.lit(""))) == "", "").otherwise(_parts(c, host, out))
 
 
 def act_key(c: Column, host: str = "www.portal.example") -> Column:
     """marker:CODE of the first marker that is found; else acto:CODE for a code of four groups; else empty."""
-    _, path, fragment = _parts(c, host)
-    t = F.regexp_replace(F.lower(F.concat(unquote(path), F.lit("/"), unquote(fragment))), "/{2,}", "/")
-    tried = [F.nullif(F.upper(F.trim(F.regexp_extract(t, f"/{m}/([^/?#]+)", 1))), F.lit("")) for m in MARKERS]
-    found = [F.concat(F.lit(f"{m}:"), x) for m, x in zip(MARKERS, tried, strict=True)]
-    other = F.nullif(F.upper(F.regexp_extract(t, r"/(\d{4}(?:-[a-z0-9]+){3,})", 1)), F.lit(""))
-    return F.coalesce(*found, F.concat(F.lit("acto:"), other), F.lit(""))
+    def key(s: Column) -> Column:
+        tried = [F.concat(F.lit(f"{m}:"), F.nullif(F.upper(strip(F.regexp_extract(s["t"], f"/{m}/([^/?#]+)", 1))), F.lit(""))) for m in MARKERS]
+        other = F.concat(F.lit("acto:"), F.nullif(F.upper(F.regexp_extract(s["t"], r"/(\d{4}(?:-[a-z0-9]+){3,})", 1)), F.lit("")))
+        return F.coalesce(*tried, other, F.lit(""))
+
+    def text(net: Column, path: Column, fragment: Column) -> Column:
+        return bind(key, t=F.regexp_replace(F.lower(F.concat(unquote(path), F.lit("/"), unquote(fragment))), "/{2,}", "/"))
+
+    return _parts(c, host, text)
 
 
 def expected_code(c: Column) -> Column:
@@ -68,8 +85,11 @@ def process_code(c: Column) -> Column:
 
 
 def abs_url(c: Column, base: str = "https://www.portal.example") -> Column:
-    u = clean(c)
-    return F.when(u == "", "").when(u.rlike("^https?://"), u).when(u.startswith("/"), F.concat(F.lit(base), u)).otherwise(F.concat(F.lit(base + "/"), u))
+    def whole(s: Column) -> Column:
+        u = s["u"]
+        return F.when((u == "") | u.rlike("^https?://"), u).otherwise(F.concat(F.lit(base), F.when(u.startswith("/"), "").otherwise("/"), u))
+
+    return bind(whole, u=clean(c))
 
 
 def first_href(html: Column, holds: str, without: str = "", base: str = "https://www.portal.example") -> Column:

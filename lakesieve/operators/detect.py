@@ -30,19 +30,23 @@ def codes_in(texts: DataFrame, codes: DataFrame, id_col: str, text_col: str, cod
 def names_in(texts: DataFrame, names: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, nombre, ficha, ord) for every name that a text holds; a truncated name may go on within its last word.
 
-    Names and texts meet on the name's first word (the beginning of it, for a
-    truncated name of one word), and the whole is tested after that.
+    Each place of a text gives its word and the run of as many words as the longest
+    name has; runs and names meet on the first word (its beginning, for a truncated
+    name of one word), and the run tells whether the name goes on. The text itself
+    is never moved.
     """
-    t = texts.select(id_col, F.concat(F.lit(" "), norm_name(F.col(text_col)), F.lit(" ")).alias("t"))
-    words = t.select(id_col, "t", F.explode(F.array_distinct(F.split(F.trim("t"), " "))).alias("w"))
+    longest = names.agg(F.coalesce(F.max(F.size(F.split("nombre", " "))), F.lit(1)).alias("most"))
+    pattern = F.concat(F.lit("(?:^| )(?=((?:[a-z0-9]+(?: |$)){1,"), "most", F.lit("}))"))
+    runs = texts.select(id_col, norm_name(F.col(text_col)).alias("t")).crossJoin(F.broadcast(longest))  # one row
+    runs = runs.select(id_col, F.explode(F.regexp_extract_all("t", pattern, 1)).alias("run"))
+    places = runs.select(id_col, F.concat(F.trim("run"), F.lit(" ")).alias("run"), F.substring_index("run", " ", 1).alias("w"))
     n = names.withColumn("w", F.substring_index("nombre", " ", 1)).withColumn("one", F.col("truncado") & ~F.col("nombre").contains(" "))
-    full = n.where(~F.col("one"))
     tail = F.when(F.col("truncado"), "").otherwise(" ")
-    hits = words.join(full, "w").where(F.col("t").contains(F.concat(F.lit(" "), "nombre", tail)))
-    short = n.where("one").withColumn("l", F.length("nombre"))
-    lengths = short.select("l").distinct()
-    begun = words.join(F.broadcast(lengths), F.length("w") >= F.col("l")).withColumn("b", F.expr("substring(w, 1, l)"))
-    hits_short = begun.drop("l", "w").join(short.drop("w"), F.col("b") == F.col("nombre"))
+    hits = places.join(n.where("not one"), "w").where(F.col("run").startswith(F.concat("nombre", tail)))
+    short = n.where("one").withColumn("l", F.length("nombre")).drop("w")
+    cuts = short.agg(F.collect_set("l").alias("cuts"))  # no more than a word has letters
+    begun = places.select(id_col, "w").distinct().crossJoin(F.broadcast(cuts)).select(id_col, "w", F.explode("cuts").alias("l")).where(F.length("w") >= F.col("l"))
+    hits_short = begun.withColumn("nombre", F.expr("substring(w, 1, l)")).join(short.drop("l"), "nombre")
     cols = [id_col, "nombre", "ficha", "ord"]
     return hits.select(*cols).unionByName(hits_short.select(*cols)).distinct()
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lakesieve.functions.similarity import scored
 from lakesieve.functions.text import clean, ficha_digits, norm_label
@@ -42,9 +43,89 @@ def move(sources: list[DataFrame], target: DataFrame, flag: str, key: str, order
     return not_known(one, target, key).drop("_src"), [s.where(~checked(F.col(flag))) for s in sources]
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """New rows replace old ones of their key; columns that only one side has are added, null on the other."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+def upsert(old: DataFrame, new: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """old with new's columns set where new has the key, and new's other keys added.
+
+    Columns that only old has keep their values; those that only new has are null
+    where new has no row. Of new rows of one key the last by `order` counts (by all
+    columns, where no order is given). order: columns of new that the result need
+    not have. A null key is one key.
+    """
+    own = [c for c in new.columns if c != key]
+    last = F.struct(*[F.col(f"`{c}`") for c in (order or own)])
+    one = new.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in own]), last).alias("_new"), F.lit(True).alias("_set"))
+    set_, known = F.coalesce(F.col("_set"), F.lit(False)), F.lit(True).alias("_known")
+    both = old.select(F.col(f"`{key}`").alias("_old_key"), F.struct(*[F.col(f"`{c}`") for c in old.columns]).alias("_old"), known).join(one, F.expr("_old_key <=> _key"), "full_outer")
+    ours, theirs = F.col("_old"), F.col("_new")
+    cols = [F.when(F.col("_known"), F.col("_old_key")).otherwise(F.col("_key")).alias(key)]
+    cols += [(F.when(set_, theirs[c]).otherwise(ours[c]) if c in own else ours[c]).alias(c) for c in old.columns if c != key]
+    return both.select(*cols, *[theirs[c].alias(c) for c in own if c not in old.columns and c not in (order or [])])
+
+
+def append_new(old: DataFrame, new: DataFrame, order: str, *keys: str) -> DataFrame:
+    """Rows of new none of whose keys stands in old or in an earlier row of new that was itself appended.
+
+    Rows of the batch that share keys form chains; each chain goes to one group, in
+    which the rows are taken in order. A null or blank key is shared with nobody.
+    """
+    fresh = settled(not_known(new, old, *keys).withColumn("_row", F.monotonically_increasing_id()))
+    name = lambda k: F.when(F.trim(F.col(k)) != "", F.concat(F.lit(f"{k}="), F.col(k)))
+    held = fresh.select("_row", F.col(order).alias("_o"), *[name(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    # the first row of each first key alone decides, unless a later key ties rows together
+    out = held
+    for i in range(len(keys)):
+        w = W.partitionBy(f"_k{i}").orderBy("_o", "_row")
+        out = out.withColumn(f"_f{i}", F.when(F.col(f"_k{i}").isNotNull(), F.first("_row").over(w)).otherwise(F.col("_row")))
+    first = [F.col(f"_f{i}") == F.col("_row") for i in range(len(keys))]
+    sure = settled(out.withColumn("_sure", reduce(lambda a, b: a & b, first)))
+    # A row that is the first of all its keys is taken; rows that share a key with a taken one are not.
+    # What remains waits for rows that themselves are not taken: it is asked again without those.
+    taken, rest = sure.where("_sure").select("_row", *[f"_k{i}" for i in range(len(keys))]), sure.where("not _sure")
+    done = taken.select("_row")
+    while True:
+        for i in range(len(keys)):
+            rest = rest.join(taken.select(F.col(f"_k{i}").alias("_t")).where("_t is not null").distinct(), F.col(f"_k{i}") == F.col("_t"), "left_anti")
+        rest = settled(rest.select("_row", "_o", *[f"_k{i}" for i in range(len(keys))]))
+        if rest.isEmpty():
+            return fresh.join(settled(done), "_row", "left_semi").drop("_row")
+        for i in range(len(keys)):
+            w = W.partitionBy(f"_k{i}").orderBy("_o", "_row")
+            rest = rest.withColumn(f"_f{i}", F.when(F.col(f"_k{i}").isNotNull(), F.first("_row").over(w)).otherwise(F.col("_row")))
+        rest = settled(rest.withColumn("_sure", reduce(lambda a, b: a & b, first)))
+        taken, rest = rest.where("_sure").select("_row", *[f"_k{i}" for i in range(len(keys))]), rest.where("not _sure")
+        done = settled(done.unionByName(taken.select("_row")))
+
+
+def with_detail(df: DataFrame, detail: DataFrame, link: str, order: str) -> DataFrame:
+    """Each row with its link's detail, the first one by order, looked up once a link; a blank link has none."""
+    one = first_by(detail.where(F.trim(F.col(link)) != ""), F.col(link), [F.col(order)]).drop(order)
+    return df.join(one, link, "left")
+
+
+def all_links(tables: list[DataFrame], link: str) -> DataFrame:
+    """(link): what any of the tables holds, each once, blank ones left out."""
+    cols = [t.select(F.trim(F.col(link)).alias(link)) for t in tables]
+    return reduce(lambda a, b: a.unionByName(b), cols).where(F.col(link) != "").distinct()
+
+
+def job_of(requests: DataFrame, jobs: DataFrame, later: DataFrame | None = None) -> DataFrame:
+    """Requests with their job's fields, from `later` (jobs read anew) where `jobs` lacks it; estado 'error' where both do."""
+    known = jobs.select("name", F.struct(*jobs.columns).alias("_j"), F.lit(0).alias("_at"))
+    if later is not None:
+        known = known.unionByName(later.select("name", F.struct(*jobs.columns).alias("_j"), F.lit(1).alias("_at")))
+    known = known.groupBy("name").agg(F.min_by("_j", "_at").alias("_j"))
+    out = requests.join(known, requests["job"] == known["name"], "left")
+    return out.select(*requests.columns, *[F.col(f"_j.{c}").alias(c) for c in jobs.columns if c != "name"], F.when(F.col("_j").isNull(), "error").otherwise("ok").alias("estado"))
+
+
+def update_rows(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """Single cells set by key: a change's fields that aren't null replace the row's; changes of unknown keys do nothing.
+
+    changes has one row a key.
+    """
+    own = [c for c in changes.columns if c != key]
+    got = df.join(changes.select(key, *[F.col(c).alias(f"_c_{c}") for c in own]), key, "left")
+    return got.select(*[F.coalesce(f"_c_{c}", c).alias(c) if c in own else F.col(c) for c in df.columns])
 
 
 def replace_partition(old: DataFrame, new: DataFrame, key: str, value) -> DataFrame:
@@ -82,8 +163,8 @@ def fuzzy_lookup(names: DataFrame, known: DataFrame, left: str, right: str, leas
     """For each name the known one with the highest score of `least` or more, the first in order (of seq, then by name) of equals.
 
     by: columns of both sides that must be equal. Both sides are distinct normalised
-    names. The known names are grouped in parts that a task holds, and each part
-    meets the names once, in Arrow batches.
+    names. Pairs come from bands of lengths and from shared words; their scores are
+    worked out in Arrow batches.
     """
     ship(names.sparkSession)
     # A score of `least` needs a shared token or a ratio of `least`;

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesieve.functions.text import norm_txt, strip
+
 
 def wide(df: DataFrame, items: str, prefix: str, width: int, field: str | None = None) -> DataFrame:
     """An array as columns prefix1 .. prefix<width>, blank where it is shorter."""
@@ -71,7 +73,7 @@ def pick_column(columns: list[str], exact: list[str], all_of: list[str] = (), no
 
 
 def blank(c: Column) -> Column:
-    return F.trim(F.coalesce(c.cast("string"), F.lit(""))) == ""
+    return strip(F.coalesce(c.cast("string"), F.lit(""))) == ""
 
 
 def missing_fields(fields: list[str]) -> Column:
@@ -79,14 +81,14 @@ def missing_fields(fields: list[str]) -> Column:
     return F.filter(F.array(*[F.when(blank(F.col(f)), F.lit(f)) for f in fields]), lambda x: x.isNotNull())
 
 
-# Texts of a pager's cells.
-NAVIGATION = ("anterior", "siguiente", "primero", "ultimo", "previous", "next", "first", "last", "...", "…")
+# Texts of a pager's cells, without accents.
+NAVIGATION = ("...", "…", "?", "anterior", "siguiente", "ultimo", "primero", "pagina")
 
 
 def is_pager(cells: Column) -> Column:
-    """Whether every cell that isn't blank is a pager's; true for a blank row."""
+    """Whether every cell that isn't blank is a pager's, accents and case aside; true for a blank row."""
     some = F.filter(cells, lambda x: ~blank(x))
-    return F.forall(some, lambda x: F.lower(F.trim(x)).isin(*NAVIGATION) | x.rlike(r"^[\d\s.,;:<>?\-…]+$"))
+    return F.forall(some, lambda x: norm_txt(x).isin(*NAVIGATION) | x.rlike(r"^[\d\s.,;:<>?\-…]+$"))
 
 
 def is_numeric_pager(cells: Column) -> Column:
@@ -110,6 +112,38 @@ def is_excluded(name: Column, listed: list[str]) -> Column:
     return F.exists(F.array(*[F.lit(x.upper()) for x in listed]).cast("array<string>"), lambda x: F.upper(name).contains(x))
 
 
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns by their names in a table; those without one keep theirs."""
+    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in df.columns])
+
+
+def canonical_label(label: str, repairs: dict[str, str]) -> str:
+    """A column's label: UTF-8 that was read as Latin-1 is repaired, parts are replaced in order, what precedes `::` goes."""
+    try:
+        label = label.encode("latin-1").decode("utf-8")
+    except UnicodeError:
+        pass
+    for old, new in repairs.items():
+        label = label.replace(old, new)
+    return label.rpartition("::")[2].strip()
+
+
+def fill_items(df: DataFrame, items: str, prefix: str = "item_") -> DataFrame:
+    """An array's entries in the columns prefix1, prefix2 .. that df has, blank ones where it is shorter; no column is added."""
+    own = [c for c in df.columns if c.startswith(prefix) and c[len(prefix) :].isdigit()]
+    return df.withColumns({c: F.coalesce(F.get(F.col(items), F.lit(int(c[len(prefix) :]) - 1)).cast("string"), F.lit("")) for c in own})
+
+
+def by_header(row: Column, header: list[str]) -> Column:
+    """A ragged row as a struct of its header's names, blank where it is shorter; what is beyond the header goes."""
+    return F.struct(*[F.coalesce(F.get(row, F.lit(i)), F.lit("")).alias(h) for i, h in enumerate(header)])
+
+
+def has_payload(fields: list[str]) -> Column:
+    """Whether any of the fields isn't blank."""
+    return F.size(missing_fields(fields)) < len(fields)
+
+
 def stamp(df: DataFrame, column: str, now: Column) -> DataFrame:
     """The time of a run in every row, first of the columns."""
     return df.select(F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias(column), *[c for c in df.columns if c != column])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesieve.operators.reshape import blank
+
 
 def discard_reason(price: Column, word: Column, codes: Column, rs: Column, sr: Column, least: float = 1000.0) -> Column:
     """Why an act is discarded: a price under the least, a listed word, a code of RS and none of SR; empty if it isn't."""
@@ -34,3 +36,33 @@ def is_winner(provider: Column, winner: Column) -> Column:
 def page_type(lines: Column) -> Column:
     """1 where a page names its provider block, else 2."""
     return F.when(F.exists(lines, lambda x: F.lower(x).contains("informacion del proponente")), 1).otherwise(2)
+
+
+def award_dates(link: Column, bidders: Column, date: Column, award: Column) -> tuple[Column, Column]:
+    """(date, award date): without a link to the bids the date is the award's; then, without bidders, a blank award date is the date."""
+    day = F.when(blank(link), award).otherwise(date)
+    return day, F.when((F.coalesce(F.size(bidders), F.lit(0)) <= 0) & blank(award) & ~blank(day), day).otherwise(award)
+
+
+def failed_fetches(acts: DataFrame, link: str, page: str, mark: str = "skip_timeout_xpath") -> DataFrame:
+    """(link, fecha): the discards of links whose page could not be fetched."""
+    return acts.where(F.col(page).isNull()).select(link, F.lit(mark).alias("fecha")).distinct()
+
+
+def whitelist(rows: DataFrame, column: str) -> DataFrame:
+    """(ficha): the codes of a list, digits without leading zeros, each once; zeros alone are 0."""
+    digits = F.regexp_replace(F.coalesce(F.col(column).cast("string"), F.lit("")), r"\D+", "")
+    return rows.select(F.regexp_replace(digits, "^0+(?=.)", "").alias("ficha")).where("ficha <> ''").distinct()
+
+
+def legacy_dictionary(rows: DataFrame, code: str, name: str, seq: str) -> tuple[DataFrame, DataFrame]:
+    """(codes, names): codes of 1 to 6 characters as they are; the last code of each lower-case name."""
+    own = rows.select(F.trim(F.col(code).cast("string")).alias("ficha"), F.lower(F.trim(F.col(name))).alias("nombre"), F.col(seq).alias("s"))
+    own = own.where("ficha <> '' and length(ficha) <= 6")
+    return own.select("ficha").distinct(), own.where("nombre <> ''").groupBy("nombre").agg(F.max_by("ficha", "s").alias("ficha"))
+
+
+def run_row(detail: DataFrame, run: Column, started: Column, finished: Column) -> DataFrame:
+    """A run's totals by its detail rows (link, estado): acts, distinct links, failed ones, start, end, status."""
+    totals = detail.groupBy(run.alias("run")).agg(F.count("*").alias("total"), F.countDistinct("link").alias("unicos"), F.count_if(F.col("estado") == "error").alias("errores"), F.min(started).alias("inicio"), F.max(finished).alias("fin"))
+    return totals.withColumn("estado", F.when(F.col("errores") == 0, "ok").when(F.col("errores") < F.col("total"), "parcial").otherwise("error"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesieve.plans import operations, parsing, relational
+from lakesieve.plans import operations, parsing, records, relational
 
-MODULES = [parsing, relational, operations]
+MODULES = [parsing, relational, operations, records]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

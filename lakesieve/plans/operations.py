@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from lakesieve.plans.parsing import _norm
 from lakesieve.plans.views import ACTS_SQL, REQUESTS_SQL, acts, requests
 from lakesieve.sources.html_tables import table_rows
 from lakesieve.sources.tables import read_table as table
+from lakesieve.sources.tables import work_dir
 from lakesieve.streaming import requests as rq
 
 Q, SQL = {}, {}
@@ -172,10 +173,7 @@ SELECT job, strftime(slot, '%Y-%m-%d %H:%M') AS slot FROM s WHERE NOT EXISTS (SE
 def stream_requests(s, d):
     """The events as a stream of files, taken up by an incremental query with a watermark."""
     src = requests(s, d)
-    base = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
-    import uuid
-
-    at = f"{base.rstrip('/')}/requests-{uuid.uuid4().hex}"
+    at = f"{work_dir(s)}/requests-{uuid.uuid4().hex}"
     src.repartition(4).write.parquet(f"{at}/in")
     rq.counted_by_status(s, f"{at}/in", src.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "), f"{at}/out", f"{at}/state")
     return s.read.parquet(f"{at}/out").select("id", "job", "status", "priority")

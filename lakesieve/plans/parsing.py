@@ -43,10 +43,16 @@ SQL["q_num_parse"] = f"""WITH {ACTS_SQL}, a AS (SELECT id, {_MARKS.format("preci
 SELECT id, {_NUM.replace("(t,", "(t1,").replace("(t)", "(t1)").replace("(t, ", "(t1, ")} AS num, {_NUM.replace("(t,", "(t2,").replace("(t)", "(t2)")} AS signo, 0.0::DOUBLE AS nada,
 CASE WHEN id % 3 > 0 AND {_NUM.replace("(t,", "(t1,").replace("(t)", "(t1)")} > 0 THEN {_NUM.replace("(t,", "(t1,").replace("(t)", "(t1)")} / (id % 3) ELSE {_NUM.replace("(t,", "(t1,").replace("(t)", "(t1)")} END AS unidad FROM a"""
 
-Q["q_norm_text"] = lambda s, d: table(s, d, "documents").select("doc_id", F.md5(text.norm_txt(F.col("text"))).alias("txt"), F.md5(text.norm_name(F.col("text"))).alias("nombre"))
-SQL["q_norm_text"] = f"SELECT doc_id, md5(regexp_replace(translate(trim(lower(text)), '{ACCENTED}', '{PLAIN}'), '\\s+', ' ', 'g')) AS txt, md5({_norm('text')}) AS nombre FROM documents"
+# white space that isn't ASCII's, at both ends and inside
+def _padded():
+    return F.concat(F.lit("\t\u00a0 "), F.replace("text", F.lit(" "), F.lit("\u2003 ")), F.lit("\u3000\n"))
 
-Q["q_sanitize"] = lambda s, d: table(s, d, "documents").select("doc_id", F.md5(text.sanitize(F.col("text"))).alias("limpio"), F.md5(text.repair_mojibake(F.col("text"))).alias("reparado"))
+
+Q["q_norm_text"] = lambda s, d: table(s, d, "documents").select("doc_id", F.md5(text.norm_txt(_padded())).alias("txt"), F.md5(text.norm_name(F.col("text"))).alias("nombre"))
+SQL["q_norm_text"] = """SELECT doc_id, md5(trim(regexp_replace(strip_accents(lower(text)), '\\s+', ' ', 'g'))) AS txt,
+md5(trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g'))) AS nombre FROM documents"""
+
+Q["q_sanitize"] = lambda s, d: table(s, d, "documents").select("doc_id", F.md5(text.sanitize(_padded())).alias("limpio"), F.md5(text.repair_mojibake(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"))).alias("reparado"))
 SQL["q_sanitize"] = "SELECT doc_id, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS limpio, md5(text) AS reparado FROM documents"
 
 Q["q_norm_url"] = lambda s, d: table(s, d, "pages").select("page_id", url.normalize_url(F.col("url")).alias("normal"))
@@ -109,14 +115,10 @@ SQL["q_token_overlap"] = f"""WITH t AS (SELECT p_partkey, list_filter(list_disti
 SELECT p_partkey, CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0.0 ELSE round(len(list_intersect(a, b)) / greatest(len(a), len(b)), 6) END AS parte FROM t"""
 
 Q["q_html_lines"] = lambda s, d: table(s, d, "pages").select("page_id", F.size(html.lines(F.col("html"))).alias("n"), F.md5(F.array_join(html.lines(F.col("html")), "|")).alias("lineas"), rules.page_type(html.lines(F.col("html"))).alias("tipo"))
-_T = "html"
-for _tag in ("script", "style", "noscript"):
-    _T = f"regexp_replace({_T}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}>', ' ', 'g')"
-_T = f"regexp_replace(regexp_replace({_T}, '(?is)<br\\s*/?>', chr(10), 'g'), '(?is)</(p|div|tr|li|h[1-6]|td|th)>', chr(10), 'g')"
-_T = f"regexp_replace({_T}, '(?is)<[^>]+>', ' ', 'g')"
-for _a, _b in html.ENTITIES.items():
-    _T = f"replace({_T}, '{_a}', '{_b.replace(chr(39), chr(39) * 2)}')"
-SQL["q_html_lines"] = f"""WITH l AS (SELECT page_id, list_filter(list_transform(string_split({_T}, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM pages)
+SQL["q_html_lines"] = """WITH s AS (SELECT page_id, regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<noscript.*?</noscript>|<!--.*?-->', ' ', 'g') AS h FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(h, '(?i)<br ?/?>|</(?:p|div|tr|li|h[1-6]|td|th)>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS t FROM s),
+e AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS t FROM b),
+l AS (SELECT page_id, list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM e)
 SELECT page_id, CAST(len(l) AS INT) AS n, md5(array_to_string(l, '|')) AS lineas, CASE WHEN len(list_filter(l, lambda x: contains(lower(x), 'informacion del proponente'))) > 0 THEN 1 ELSE 2 END AS tipo FROM l"""
 
 _LABEL = r'<a href="/([^"]+)">([^<]*)</a>'

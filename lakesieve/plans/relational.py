@@ -61,8 +61,17 @@ def remaining(s, d):
 Q["q_remaining_after_move"] = remaining
 SQL["q_remaining_after_move"] = _FL + "SELECT id, clave, flag FROM a WHERE upper(trim(flag)) <> 'TRUE'"
 
-Q["q_upsert"] = lambda s, d: joins.upsert(acts(s, d).where("id % 3 > 0").select("id", "titulo", "precio"), acts(s, d).where("id % 3 < 2").select("id", F.upper("titulo").alias("titulo"), F.col("precio_txt").alias("Proponente 1")), "id")
-SQL["q_upsert"] = f"""WITH {ACTS_SQL} SELECT id, titulo, precio, NULL::VARCHAR AS "Proponente 1" FROM acts WHERE id % 3 > 0 AND id NOT IN (SELECT id FROM acts WHERE id % 3 < 2) UNION ALL SELECT id, upper(titulo), NULL, precio_txt FROM acts WHERE id % 3 < 2"""
+def upsert(s, d):
+    """New titles and a column that the table lacks, each key's change twice: the later one counts, and prices stay."""
+    a = acts(s, d)
+    new = a.where("id % 3 < 2").select("id", F.upper("titulo").alias("titulo"), F.col("precio_txt").alias("Proponente 1"), F.lit(2).alias("v"))
+    early = a.where("id % 3 = 0").select("id", F.lit("x").alias("titulo"), F.lit("y").alias("Proponente 1"), F.lit(1).alias("v"))
+    return joins.upsert(a.where("id % 3 > 0").select("id", "titulo", "precio"), new.unionByName(early), "id", ["v"])
+
+
+Q["q_upsert"] = upsert
+SQL["q_upsert"] = f"""WITH {ACTS_SQL} SELECT id, CASE WHEN id % 3 < 2 THEN upper(titulo) ELSE titulo END AS titulo, CASE WHEN id % 3 > 0 THEN precio END AS precio,
+CASE WHEN id % 3 < 2 THEN precio_txt END AS "Proponente 1" FROM acts"""
 
 Q["q_replace_partition"] = lambda s, d: joins.replace_partition(acts(s, d).select("id", "entidad"), acts(s, d).where("entidad = 'FRANCE' and id % 2 = 0 or entidad = 'NATION_3' and id % 2 = 0").select((F.col("id") * 10).alias("id"), "entidad"), "entidad", "NATION_3")
 SQL["q_replace_partition"] = f"WITH {ACTS_SQL} SELECT id, entidad FROM acts WHERE entidad <> 'NATION_3' UNION ALL SELECT id * 10, entidad FROM acts WHERE entidad IN ('FRANCE', 'NATION_3') AND id % 2 = 0"
@@ -84,22 +93,33 @@ SELECT *, "ID" || '|' || titulo || '||' AS fila FROM x"""
 def items_wide(s, d):
     li, p = table(s, d, "lineitem"), table(s, d, "part")
     x = li.join(p, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("acto")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.col("p_name").alias("n")))).alias("items"))
-    return reshape.wide(x, "items", "item_", 7, "n").withColumn("n_items", F.size("items")).drop("items")
+    return reshape.wide(x, "items", "item_", reshape.width_of(x, "items"), "n").withColumn("n_items", F.size("items")).drop("items")
 
 
 Q["q_items_wide"] = items_wide
-SQL["q_items_wide"] = "WITH x AS (SELECT l_orderkey AS acto, list(p_name ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS l FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1) SELECT acto, " + ", ".join(f"coalesce(l[{i}], '') AS item_{i}" for i in range(1, 8)) + ", CAST(len(l) AS INT) AS n_items FROM x"
+SQL["q_items_wide"] = """SELECT acto, n_items, coalesce(COLUMNS('item_[0-9]+'), '') AS '\\0' FROM (PIVOT (
+  SELECT l_orderkey AS acto, p_name, 'item_' || row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS c,
+         CAST(count(*) OVER (PARTITION BY l_orderkey) AS INT) AS n_items
+  FROM lineitem JOIN part ON l_partkey = p_partkey) ON c USING first(p_name) GROUP BY acto, n_items)"""
 
 
 def bidders_wide(s, d):
     x = bids(s, d).groupBy("acto").agg(F.sort_array(F.collect_list(F.struct("n", "p", F.col("proveedor").alias("nombre"), F.col("total").cast("decimal(18,2)").alias("precio")))).alias("b"))
-    x = reshape.wide(reshape.wide(x, "b", "Proponente ", 4, "nombre"), "b", "Precio Proponente ", 4, "precio")
+    width = reshape.width_of(x, "b")
+    x = reshape.wide(reshape.wide(x, "b", "Proponente ", width, "nombre"), "b", "Precio Proponente ", width, "precio")
     text = F.array_join(F.transform("b", lambda y: F.concat(y["nombre"], F.lit(" — "), y["precio"].cast("string"))), "\n")
     return x.withColumn("num_participantes", F.size("b").cast("string")).withColumn("texto", F.md5(text)).drop("b")
 
 
 Q["q_bidders_wide"] = bidders_wide
-SQL["q_bidders_wide"] = f"WITH {BIDS_SQL}, x AS (SELECT acto, list({{'s': proveedor, 't': CAST(CAST(total AS DECIMAL(18,2)) AS VARCHAR)}} ORDER BY n, p, proveedor, total) AS l FROM bids GROUP BY 1) SELECT acto, " + ", ".join(f"coalesce(l[{i}].s, '') AS \"Proponente {i}\", coalesce(l[{i}].t, '') AS \"Precio Proponente {i}\"" for i in range(1, 5)) + ", CAST(len(l) AS VARCHAR) AS num_participantes, md5(array_to_string(list_transform(l, lambda y: y.s || ' — ' || y.t), chr(10))) AS texto FROM x"
+_N = "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, s_name, l_extendedprice)"
+_P = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)"
+SQL["q_bidders_wide"] = f"""SELECT acto, num_participantes, texto, coalesce(COLUMNS('.*Proponente [0-9]+'), '') AS '\\0' FROM (PIVOT (
+  SELECT acto, num_participantes, texto, p || n AS c, v FROM (
+    SELECT l_orderkey AS acto, {_N} AS n, s_name, {_P} AS precio, CAST(count(*) OVER (PARTITION BY l_orderkey) AS VARCHAR) AS num_participantes,
+           md5(string_agg(s_name || ' — ' || {_P}, chr(10)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, s_name, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS texto
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) x, LATERAL (VALUES ('Proponente ', s_name), ('Precio Proponente ', precio)) y(p, v))
+  ON c USING first(v) GROUP BY acto, num_participantes, texto)"""
 
 
 def min_bidder(s, d):
@@ -157,9 +177,11 @@ FROM part p LEFT JOIN a ON lower(p.p_name) = a.k LEFT JOIN part q ON q.p_partkey
 Q["q_required_fields"] = lambda s, d: catalog(s, d).select("ord", "n", "p", "s", F.when(F.col("n") == 1, " ").otherwise(F.col("marca")).alias("marca"), F.when(F.col("ord") % 3 == 0, F.lit(None)).otherwise(F.col("modelo")).alias("modelo"), "pais").withColumn("faltan", F.array_join(reshape.missing_fields(["marca", "modelo", "pais"]), ",")).where("faltan <> ''").groupBy("faltan").agg(F.count("*").alias("n"))
 SQL["q_required_fields"] = f"WITH {CATALOG_SQL}, x AS (SELECT concat_ws(',', CASE WHEN n = 1 THEN 'marca' END, CASE WHEN ord % 3 = 0 THEN 'modelo' END) AS faltan FROM catalog) SELECT faltan, CAST(count(*) AS BIGINT) AS n FROM x WHERE faltan <> '' GROUP BY 1"
 
-_CELLS = [["1", "2", "…", "Siguiente"], ["", " "], ["A", "2"], ["10", "1.000"], ["< >", "3 - 4"], ["Nombre", ""]]
-Q["q_pagination_filter"] = lambda s, d: table(s, d, "nation").select("n_nationkey", F.element_at(F.array(*[F.array(*[F.lit(x) for x in r]) for r in _CELLS]), F.col("n_nationkey") % 6 + 1).alias("c")).select("n_nationkey", reshape.is_pager(F.col("c")).alias("v1"), reshape.is_numeric_pager(F.col("c")).alias("v2"))
-SQL["q_pagination_filter"] = "SELECT n_nationkey, n_nationkey % 6 IN (0, 1, 3, 4) AS v1, n_nationkey % 6 = 3 AS v2 FROM nation"
+_CELLS = [["1", "2", "…", "Siguiente"], ["", " "], ["A", "2"], ["10", "1.000"], ["< >", "3 - 4"], ["Nombre", ""], ["1", "Último"], ["PÁGINA", "2"], ["First", "Last"]]
+Q["q_pagination_filter"] = lambda s, d: table(s, d, "nation").select("n_nationkey", F.element_at(F.array(*[F.array(*[F.lit(x) for x in r]) for r in _CELLS]), F.col("n_nationkey") % 9 + 1).alias("c")).select("n_nationkey", reshape.is_pager(F.col("c")).alias("v1"), reshape.is_numeric_pager(F.col("c")).alias("v2"))
+SQL["q_pagination_filter"] = f"""WITH c AS (SELECT n_nationkey, list_filter(({_CELLS!r})[n_nationkey % 9 + 1], lambda x: trim(x) <> '') AS l FROM nation)
+SELECT n_nationkey, len(list_filter(l, lambda x: NOT regexp_full_match(lower(strip_accents(x)), '[0-9 .,;:<>?…-]+|siguiente|anterior|primero|ultimo|pagina'))) = 0 AS v1,
+       len(l) > 0 AND len(list_filter(l, lambda x: NOT regexp_full_match(x, '[0-9.… ]*'))) = 0 AS v2 FROM c"""
 
 
 def catalog_parse(s, d):

@@ -38,6 +38,26 @@ def parse_times(c: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda t: F.lpad(t, 5, "0")))
 
 
+def active_jobs(rows: DataFrame) -> DataFrame:
+    """Jobs of a configuration (name, python, script, days, times, enabled) that can run: name, python, script, days, times.
+
+    Those that are switched off, lack a field, or have days without times or times
+    without days are left out; without both a job runs on request only.
+    """
+    bare = lambda c: F.btrim(F.coalesce(F.col(c), F.lit("")), F.lit("\"' \t"))
+    on = ~F.lower(F.trim(F.coalesce("enabled", F.lit("")))).isin("no", "false", "0")
+    out = rows.where(on).select(F.trim(F.coalesce("name", F.lit(""))).alias("name"), bare("python").alias("python"), bare("script").alias("script"), parse_days(F.col("days")).alias("days"), parse_times(F.col("times")).alias("times"))
+    return out.where("name <> '' and python <> '' and script <> '' and (size(days) > 0) = (size(times) > 0)")
+
+
+def changed(config: DataFrame, before: str | None) -> tuple[bool, str]:
+    """Whether a configuration differs from the one with that signature, and its own signature, whatever the rows' order."""
+    row = F.xxhash64(*[F.to_json(F.struct(*config.columns))]).cast("decimal(38,0)")
+    got = config.agg(F.count("*").alias("n"), F.sum(row).alias("h")).first()
+    mark = f"{got['n']}:{got['h']}"
+    return mark != before, mark
+
+
 def slots(jobs: DataFrame, start: str, end: str) -> DataFrame:
     """(job, slot) for jobs (job, days, times) from start to end, days included."""
     day = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
@@ -56,12 +76,11 @@ def overdue(duration: Column, limit: Column, default: float = 4200.0) -> Column:
 
 
 def counted_by_status(spark: SparkSession, folder: str, schema: str, sink: str, checkpoint: str) -> None:
-    """Requests from a folder of files, what is there by now, upserted by id into the table at sink."""
-    from lakesieve.sources.tables import upsert_table
+    """Requests from a folder of files, what is there by now; the sink has each id's latest state, whenever it came."""
+    from lakesieve.sources.tables import keep_latest
 
     def save(batch: DataFrame, _: int) -> None:
-        newest = latest(batch, "id", ["requested_at", "seq"], ["job", "status", "priority", "requested_at", "seq"])
-        upsert_table(newest, sink, "id")
+        keep_latest(batch.select("id", "job", "status", "priority", "requested_at", "seq"), sink, "id", ["requested_at", "seq"])
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(folder)
     stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

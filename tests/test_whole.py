@@ -104,20 +104,6 @@ def test_acts_for_a_code_are_all(spark):
     assert len(want) > 50 and [r.id for r in acts_for(spark, DATA, "12").collect()] == want
 
 
-def test_signatures_meet_across_classes():
-    """Links under 2/3, whose smaller set can be two classes down or more."""
-    import numpy as np
-
-    from lakesieve.llm import jaccard
-
-    rnd = np.random.default_rng(8)
-    for num, den, sizes in ((3, 5, ((8, 13), (12, 19))), (1, 2, ((2, 4), (5, 9), (20, 40))), (1, 4, ((2, 8), (10, 40)))):
-        for small, large in sizes:
-            for _ in range(20):
-                s = np.unique(rnd.integers(0, 1 << 63, large, dtype=np.uint64))
-                assert np.intersect1d(jaccard.signatures(s, num, den), jaccard.signatures(s[:small], num, den)).size
-
-
 def test_cell_value_has_all_lines(spark):
     from pyspark.sql import functions as F
 
