@@ -36,6 +36,9 @@ from lakesieve.llm.common import ship, some_rows
 from lakesieve.llm.pieces import PieceCache, by_volume, split_plainly
 
 
+PAIRS = 600_000  # neighbours that are known to go together, or not
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
@@ -77,7 +80,7 @@ class PrefixBPE:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether b can stand after a."""
-        if len(self._pair) > 2_000_000:
+        if len(self._pair) > PAIRS:
             self._pair.clear()
         ok = self._pair[a << 32 | b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return ok
@@ -161,7 +164,7 @@ class TextEncoder:
     on from the beginning that it shares with the one before.
     """
 
-    def __init__(self, path: str, pattern: str, limit: int = 450_000):
+    def __init__(self, path: str, pattern: str, limit: int = 150_000):
         self.bpe = PrefixBPE(load_ranks(path))
         self.pattern = regex.compile(pattern)
         self.width = np.dtype("<u2" if max(self.bpe.bytes_of) < 1 << 16 else "<u4")
@@ -229,7 +232,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(_place(vocabulary), pattern)
-        for b in some_rows(batches, 4000):
+        for b in some_rows(batches):
             strings = [x or "" for x in b.column("text").to_pylist()]
             rows = by_volume(list(range(len(strings))), map(len, strings))
             for run in rows:
