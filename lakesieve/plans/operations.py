@@ -110,19 +110,16 @@ Q["q_pick_date"] = pick
 SQL["q_pick_date"] = f"WITH {ACTS_SQL} SELECT id, fecha_txt AS fecha, '' AS nada FROM acts"
 
 
-def html_tables(s, d, part="id % 50 = 0"):
-    """Bids as HTML tables, read back; each table's largest total."""
-    a = acts(s, d).where(part).select("id", F.concat(F.lit("<p>x</p><table><tr><th>Proponente</th><th>Total</th></tr><tr><td>"), "titulo", F.lit("</td><td>"), "precio_txt", F.lit("<br></td></tr><tr><td>Total</td><td>B/. 1.50</td></tr></table>")).alias("html"))
+def html_tables(s, d):
+    """Every act's bids as HTML tables, read back; each table's largest total."""
+    a = acts(s, d).select("id", F.concat(F.lit("<p>x</p><table><tr><th>Proponente</th><th>Total</th></tr><tr><td>"), "titulo", F.lit("</td><td>"), "precio_txt", F.lit("<br></td></tr><tr><td>Total</td><td>B/. 1.50</td></tr></table>")).alias("html"))
     from lakesieve.functions.money import number
 
     rows = table_rows(a, "id", "html").where("row > 0")
     return rows.groupBy("id", "tbl").agg(F.max(number(F.get("cells", F.lit(1)))).alias("mayor"), F.min_by(F.get("cells", F.lit(0)), "row").alias("primero"))
 
 
-Q["q_html_tables"] = html_tables
-SQL["q_html_tables"] = f"WITH {ACTS_SQL} SELECT id, CAST(0 AS INT) AS tbl, precio AS mayor, titulo AS primero FROM acts WHERE id % 50 = 0"
-
-Q["q_html_tables_whole"] = lambda s, d: html_tables(s, d, "true")
+Q["q_html_tables_whole"] = html_tables
 SQL["q_html_tables_whole"] = f"WITH {ACTS_SQL} SELECT id, CAST(0 AS INT) AS tbl, precio AS mayor, titulo AS primero FROM acts"
 
 

@@ -206,21 +206,6 @@ _RANK = "row_number() OVER (PARTITION BY {} ORDER BY -(CAST(n % 2 = 0 AS INT) +
 SQL["q_catalog_best"] = f"WITH {CATALOG_SQL} SELECT ficha, oferente, marca, modelo, pais FROM (SELECT *, {_RANK.format('ficha, oferente')} AS r FROM catalog) WHERE r = 1"
 
 
-def lookup_exact(s, d):
-    c = catalog(s, d).where("ord % 4 = 0")
-    both = joins.best_per_key(c, ["ficha", "oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
-    one = joins.best_per_key(c, ["oferente"], _score(), F.struct("ord", "n", "p", "s", "x"), ["marca", "pais"])
-    b = bids(s, d).select("acto", "n", "p", "proveedor", "total", (F.col("p") % 50).cast("string").alias("f"))
-    got = joins.cascade(b, [(both, [("f", "ficha"), ("proveedor", "oferente")]), (one, [("proveedor", "oferente")])], ["marca", "pais"])
-    return got.groupBy("step", "marca", "pais").agg(F.count("*").alias("n"))
-
-
-Q["q_catalog_lookup_exact"] = lookup_exact
-SQL["q_catalog_lookup_exact"] = f"""WITH {CATALOG_SQL}, {BIDS_SQL}, c AS (SELECT * FROM catalog WHERE ord % 4 = 0), a AS (SELECT * FROM (SELECT *, {_RANK.format('ficha, oferente')} AS r FROM c) WHERE r = 1), o AS (SELECT * FROM (SELECT *, {_RANK.format('oferente')} AS r FROM c) WHERE r = 1)
-SELECT CASE WHEN a.r = 1 THEN 1 WHEN o.r = 1 THEN 2 ELSE 0 END AS step, coalesce(a.marca, o.marca, '') AS marca, coalesce(a.pais, o.pais, '') AS pais, CAST(count(*) AS BIGINT) AS n
-FROM bids b LEFT JOIN a ON a.ficha = CAST(b.p % 50 AS VARCHAR) AND a.oferente = b.proveedor LEFT JOIN o ON o.oferente = b.proveedor GROUP BY 1, 2, 3"""
-
-
 def lookup_whole(s, d):
     """Every bid against the whole catalogue; some ask for a code or a provider that it hasn't."""
     c = catalog(s, d)
@@ -261,20 +246,17 @@ def lookup_alias(s, d):
 Q["q_catalog_lookup_alias"] = lookup_alias
 
 
-def dead_letter(s, d, part="id % 100 = 0"):
-    """A round trip through JSON texts: rejected rows come back as rows, those still rejected stay."""
+def dead_letter(s, d):
+    """Every act in a round trip through JSON texts: rejected rows come back as rows, those still rejected stay."""
     from lakesieve.sources.tables import replay
 
-    a = acts(s, d).where(part).select(F.to_json(F.struct(F.lit("2025").alias("ts"), F.col("entidad").alias("sheet"), F.array(F.array(F.col("id").cast("string"), "titulo"), F.array(F.lit("x"))).alias("rows"), F.lit("error").alias("reason"))).alias("j"))
+    a = acts(s, d).select(F.to_json(F.struct(F.lit("2025").alias("ts"), F.col("entidad").alias("sheet"), F.array(F.array(F.col("id").cast("string"), "titulo"), F.array(F.lit("x"))).alias("rows"), F.lit("error").alias("reason"))).alias("j"))
     letters = a.select(F.from_json("j", "ts string, sheet string, rows array<array<string>>, reason string").alias("l")).select("l.*")
     ok, stay = replay(letters, F.col("sheet") < "J")
     return ok.select("sheet", "n", F.array_join("row", "|").alias("fila")).unionByName(stay.select("sheet", F.lit(-1).alias("n"), F.array_join(F.get("rows", F.lit(0)), "|").alias("fila")))
 
 
-Q["q_dead_letter"] = dead_letter
-SQL["q_dead_letter"] = f"WITH {ACTS_SQL}, a AS (SELECT * FROM acts WHERE id % 100 = 0) SELECT entidad AS sheet, 0 AS n, id || '|' || titulo AS fila FROM a WHERE entidad < 'J' UNION ALL SELECT entidad, 1, 'x' FROM a WHERE entidad < 'J' UNION ALL SELECT entidad, -1, id || '|' || titulo FROM a WHERE entidad >= 'J'"
-
-Q["q_dead_letter_whole"] = lambda s, d: dead_letter(s, d, "true")
+Q["q_dead_letter_whole"] = dead_letter
 SQL["q_dead_letter_whole"] = f"WITH {ACTS_SQL} SELECT entidad AS sheet, 0 AS n, id || '|' || titulo AS fila FROM acts WHERE entidad < 'J' UNION ALL SELECT entidad, 1, 'x' FROM acts WHERE entidad < 'J' UNION ALL SELECT entidad, -1, id || '|' || titulo FROM acts WHERE entidad >= 'J'"
 
 
