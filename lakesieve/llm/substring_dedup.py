@@ -11,8 +11,8 @@ repeats, and their words are removed.
 Hashes are exchanged in packed arrays. A task settles what repeats among its own
 texts and sends each hash once, so that a passage that fills the corpus costs a
 task one entry. Probes carry 32 bits next to their bucket: a chance hit only costs
-a look. Windows carry 64 bits, of which two different ones agree by chance about
-n^2 / 2^65 times among n windows near anchors.
+a look. Windows carry 128 bits, two hashes of different bases: among n windows near
+anchors, different ones agree by chance about n^2 / 2^129 times, also at 10^13 windows.
 
 Defined results
 ---------------
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesieve.llm.common import build_filter, cut, filter_hits, parts, ship, size_mb
-from lakesieve.llm.shingles import windows
+from lakesieve.llm.shingles import SECOND, windows
 
 FLUSH = 1 << 21  # words that a task hashes before it packs what it has
 
@@ -44,19 +44,24 @@ class Exchange:
     """Packs hashes of places by bucket, and finds which of them stand in more than one place.
 
     A place is (group, text, position); places that nobody asks about are probes.
+    Where `more` is given, a second hash of each place, both must agree.
     """
 
     def __init__(self, buckets: int, groups: int, short: bool):
         self.buckets, self.groups, self.short = buckets, groups, short
         self.kind = np.dtype("<u4" if short else "<u8")
 
-    def pack(self, hashes: np.ndarray, asked: np.ndarray, text: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    def pack(self, hashes: np.ndarray, asked: np.ndarray, text: np.ndarray, pos: np.ndarray, more: np.ndarray | None = None) -> Iterator[tuple[int, int, bytes]]:
         """(kind, key, data): 0 unasked and 1 asked entries by bucket, 2 answers that are known here, by group."""
-        order = np.argsort(hashes, kind="stable")
-        h, ask, text, pos = hashes[order], asked[order], text[order], pos[order]
-        if not len(h):
+        if not len(hashes):
             return
-        new = np.flatnonzero(np.diff(h, prepend=h[0] ^ np.uint64(1)) != 0)
+        order = np.argsort(hashes, kind="stable") if more is None else np.lexsort((more, hashes))
+        h, ask, text, pos = hashes[order], asked[order], text[order], pos[order]
+        differs = np.diff(h, prepend=h[0] ^ np.uint64(1)) != 0
+        if more is not None:
+            more = more[order]
+            differs |= np.diff(more, prepend=more[0]) != 0
+        new = np.flatnonzero(differs)
         times = np.diff(np.append(new, len(h)))
         many = np.repeat(times > 1, times)
         yield from answers(text[many & ask], pos[many & ask], self.groups)
@@ -64,6 +69,7 @@ class Exchange:
         one, ask_one = new, ask[new] & (times == 1)
         bucket = (h[one] >> np.uint64(40)).astype(np.int64) % self.buckets
         value = (h[one] & np.uint64(0xFFFFFFFF)).astype("<u4") if self.short else h[one]
+        second = value[:0] if more is None else more[one]
         by = np.argsort(bucket, kind="stable")
         ends = np.searchsorted(bucket[by], np.arange(self.buckets + 1))
         for k in range(self.buckets):
@@ -71,40 +77,61 @@ class Exchange:
             if not len(own):
                 continue
             twice, a = times[own] > 1, ask_one[own]
-            plain = value[own][~a]
-            yield 0, k, len(plain).to_bytes(8, "little") + plain.tobytes() + np.packbits(twice[~a]).tobytes()
+            other = own if more is not None else own[:0]
+            plain = value[own[~a]]
+            yield 0, k, len(plain).to_bytes(8, "little") + plain.tobytes() + second[other[~a[: len(other)]]].tobytes() + np.packbits(twice[~a]).tobytes()
             if a.any():
                 at = one[own][a]
-                yield 1, k, value[own][a].tobytes() + text[at].astype("<i8").tobytes() + pos[at].astype("<i4").tobytes()
+                yield 1, k, value[own[a]].tobytes() + second[other[a[: len(other)]]].tobytes() + text[at].astype("<i8").tobytes() + pos[at].astype("<i4").tobytes()
 
     def settle(self, rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
         """Answers for the asked entries of one bucket that stand in another place too."""
-        w, values, weight, text, pos = self.kind.itemsize, [], [], [], []
-        asked_values = []
+        w, two = self.kind.itemsize, 0 if self.short else 8
+        plain, weight, asked, text, pos = [], [], [], [], []
         for kind, data in rows:
+            n = int.from_bytes(data[:8], "little") if kind == 0 else len(data) // (w + two + 12)
+            at = 8 if kind == 0 else 0
+            hashes = (np.frombuffer(data, self.kind, n, at), np.frombuffer(data, "<u8", n if two else 0, at + n * w if two else 0))
+            at += n * (w + two)
             if kind == 0:
-                n = int.from_bytes(data[:8], "little")
-                values.append(np.frombuffer(data, self.kind, n, 8))
-                weight.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=8 + n * w))[:n] + np.uint8(1))
+                plain.append(hashes)
+                weight.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=at))[:n] + np.uint8(1))
             else:
-                n = len(data) // (w + 12)
-                asked_values.append(np.frombuffer(data, self.kind, n))
-                text.append(np.frombuffer(data, "<i8", n, n * w))
-                pos.append(np.frombuffer(data, "<i4", n, n * (w + 8)))
-        if not asked_values:
+                asked.append(hashes)
+                text.append(np.frombuffer(data, "<i8", n, at))
+                pos.append(np.frombuffer(data, "<i4", n, at + n * 8))
+        if not asked:
             return
-        mine = np.concatenate(asked_values)
-        of = np.unique(mine)
-        total = np.bincount(np.searchsorted(of, mine), minlength=len(of))
-        for v, c in zip(values, weight, strict=True):
-            at = np.searchsorted(of, v)
-            at[at == len(of)] = 0
-            hit = of[at] == v
-            total += np.bincount(at[hit], c[hit], minlength=len(of)).astype(total.dtype)
-        found = total[np.searchsorted(of, mine)] > 1
+        found = (_times_of_one if self.short else _times_of_two)(asked, plain, weight) > 1
         yield from answers(np.concatenate(text)[found], np.concatenate(pos)[found], self.groups)
 
 
+def _times_of_one(asked: list[tuple], plain: list[tuple], weight: list[np.ndarray]) -> np.ndarray:
+    """How often each asked hash stands among all; the plain ones, by far the most, are looked up part by part."""
+    mine = np.concatenate([h for h, _ in asked])
+    of = np.unique(mine)
+    total = np.bincount(np.searchsorted(of, mine), minlength=len(of))
+    for (v, _), c in zip(plain, weight, strict=True):
+        at = np.searchsorted(of, v)
+        at[at == len(of)] = 0
+        hit = of[at] == v
+        total += np.bincount(at[hit], c[hit], minlength=len(of)).astype(total.dtype)
+    return total[np.searchsorted(of, mine)]
+
+
+def _times_of_two(asked: list[tuple], plain: list[tuple], weight: list[np.ndarray]) -> np.ndarray:
+    """How often each asked pair of hashes stands among all."""
+    first, second = (np.concatenate([h[k] for h in asked + plain]) for k in (0, 1))
+    n = sum(len(h) for h, _ in asked)
+    times = np.concatenate([np.ones(n, np.int64), *weight])
+    order = np.lexsort((second, first))
+    first, second = first[order], second[order]
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), bool), (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(np.add.reduceat(times[order], new), np.diff(np.append(new, len(order)))) if len(order) else 0
+    return out[:n]
+
+
 def answers(text: np.ndarray, pos: np.ndarray, groups: int) -> Iterator[tuple[int, int, bytes]]:
     """Places as (2, group, bytes) for each group of texts."""
     if not len(text):
@@ -230,21 +257,20 @@ def repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col:
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
         at = _places(right.column("data").to_pylist())
         out: list[tuple[int, int, bytes]] = []
-        held: list[tuple[int, np.ndarray, np.ndarray]] = []
+        held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
         total = 0
 
         def flush() -> None:
-            h = np.concatenate([x for _, x, _ in held])
-            pos = np.concatenate([p for _, _, p in held])
-            text = np.repeat(np.array([n for n, _, _ in held], np.int64), [len(p) for _, _, p in held])
-            out.extend(windows_by.pack(h, np.ones(len(h), bool), text, pos))
+            h, more, pos = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
+            text = np.repeat(np.array([x[0] for x in held], np.int64), [len(x[3]) for x in held])
+            out.extend(windows_by.pack(h, np.ones(len(h), bool), text, pos, more))
             held.clear()
 
         for name, data in zip(left.column("name").to_pylist(), left.column("text").cast(pa.binary()).to_pylist(), strict=True):
             if name in at:
                 words = (data or b"").split()
                 starts = near_anchors(len(words), at[name], block, window)
-                held.append((name, windows(words, window)[starts], starts))
+                held.append((name, windows(words, window)[starts], windows(words, window, SECOND)[starts], starts))
                 total += len(starts)
                 if total >= FLUSH:
                     flush()

@@ -268,6 +268,17 @@ def test_repeats(spark, window):
     assert Counter((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == covered(rows, window)
 
 
+def test_windows_of_one_hash_are_told_apart_by_the_second():
+    by = substring_dedup.Exchange(3, 2, short=False)
+    first, second, text = (np.array(x, np.uint64) for x in ([7, 7, 7, 9], [1, 2, 1, 1], [0, 1, 2, 3]))
+    yes = np.ones(4, bool)
+    here = list(by.pack(first, yes, text.astype(np.int64), np.arange(4), second))
+    assert sorted(t for k, _, d in here if k == 2 for t in substring_dedup._places([d])) == [0, 2]
+    there = list(by.pack(first[1:2], yes[:1], np.array([8]), np.array([5]), second[1:2])) + list(by.pack(first[3:], yes[:1], np.array([9]), np.array([6]), np.array([3], np.uint64)))
+    found = [d for bucket in range(3) for _, _, d in by.settle([(k, d) for k, b, d in here + there if k < 2 and b == bucket])]
+    assert {t: p.tolist() for t, p in substring_dedup._places(found).items()} == {1: [1], 8: [5]}
+
+
 def test_repeats_empty(spark):
     assert substring_dedup.repeats(empty(spark)).count() == 0
 
