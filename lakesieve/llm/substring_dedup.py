@@ -34,10 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesieve.llm.common import build_filter, cut, filter_hits, parts, ship, size_mb
+from lakesieve.llm.common import build_filter, cut, filter_hits, give_back, parts, ship, size_mb
 from lakesieve.llm.shingles import SECOND, windows
 
 FLUSH = 1 << 21  # words that a task hashes before it packs what it has
+LOOK = 1 << 19  # windows, which carry two hashes and their places, likewise
 
 
 class Exchange:
@@ -183,6 +184,7 @@ def _through(packed: DataFrame, exchange: Exchange) -> DataFrame:
         rows = list(zip(table.column("kind").to_pylist(), table.column("data").to_pylist(), strict=True))
         known = [(2, g, d) for (kind, d), g in zip(rows, table.column("grp").to_pylist(), strict=True) if kind == 2]
         out = known + list(exchange.settle([r for r in rows if r[0] < 2]))
+        give_back()
         return pa.table({"grp": pa.array([g for _, g, _ in out], pa.int32()), "data": pa.array([d for _, _, d in out], pa.binary())})
 
     # Answers that are known already pass along; they are dealt by their own number.
@@ -272,12 +274,13 @@ def repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col:
                 starts = near_anchors(len(words), at[name], block, window)
                 held.append((name, windows(words, window)[starts], windows(words, window, SECOND)[starts], starts))
                 total += len(starts)
-                if total >= FLUSH:
+                if total >= LOOK:
                     flush()
                     total = 0
         if held:
             flush()
         parts_ = list(_packed(out, buckets))
+        give_back()
         return pa.Table.from_batches(parts_) if parts_ else pa.table({"kind": pa.array([], pa.int32()), "bucket": pa.array([], pa.int32()), "grp": pa.array([], pa.int32()), "data": pa.array([], pa.binary())})
 
     found = texts.groupBy("grp").cogroup(anchors.groupBy("grp")).applyInArrow(look, "kind int, bucket int, grp int, data binary")
