@@ -45,7 +45,7 @@ from lakesieve.llm.common import build_filter, cut, filter_hits, give_back, part
 from lakesieve.llm.graph import UnionFind, components
 from lakesieve.llm.shingles import mix, shingle_set
 
-GROUP_MB = 1.5  # of texts whose n-grams are told apart at once
+GROUP_MB = 0.5  # of texts whose n-grams are told apart at once, as Catalyst estimates them: packed, that is several times as many
 BLOCK = 1024  # sets that are compared in one unit, two blocks of them at most
 BLOCK_GRAMS = 1 << 21  # and their n-grams: about as many, one set more at most
 PIVOTS = 8
