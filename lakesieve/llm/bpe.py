@@ -32,11 +32,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesieve.llm.common import ship, some_rows
+from lakesieve.llm.common import give_back, ship, some_rows
 from lakesieve.llm.pieces import PieceCache, by_volume, split_plainly
 
 
-PAIRS = 600_000  # neighbours that are known to go together, or not
+CACHE = 150_000  # pre-tokens that are held with their ids; four times as many pairs of neighbours
+LEAN = 30_000  # likewise, where little memory is left
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -47,8 +48,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class PrefixBPE:
     """Encodes single pre-tokens by their prefixes' last tokens."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pairs: int = 4 * CACHE):
+        self.ranks, self.pairs = ranks, pairs
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.longest = max(map(len, ranks))
         by_end: dict[bytes, set[int]] = {}
@@ -80,7 +81,7 @@ class PrefixBPE:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether b can stand after a."""
-        if len(self._pair) > PAIRS:
+        if len(self._pair) > self.pairs:
             self._pair.clear()
         ok = self._pair[a << 32 | b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return ok
@@ -164,8 +165,8 @@ class TextEncoder:
     on from the beginning that it shares with the one before.
     """
 
-    def __init__(self, path: str, pattern: str, limit: int = 150_000):
-        self.bpe = PrefixBPE(load_ranks(path))
+    def __init__(self, path: str, pattern: str, limit: int = CACHE):
+        self.bpe = PrefixBPE(load_ranks(path), 4 * limit)
         self.pattern = regex.compile(pattern)
         self.width = np.dtype("<u2" if max(self.bpe.bytes_of) < 1 << 16 else "<u4")
         self.code = "H" if self.width.itemsize == 2 else "I"
@@ -212,8 +213,8 @@ class TextEncoder:
 
 
 @lru_cache(2)
-def encoder(path: str, pattern: str) -> TextEncoder:
-    return TextEncoder(path, pattern)
+def encoder(path: str, pattern: str, limit: int = CACHE) -> TextEncoder:
+    return TextEncoder(path, pattern, limit)
 
 
 def _place(vocabulary: str) -> str:
@@ -225,13 +226,16 @@ def _place(vocabulary: str) -> str:
     return public_tokenizers.path(vocabulary)
 
 
-def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, digests: bool = False) -> DataFrame:
-    """One row per document: id, n_tokens, ids (array), or digests of the ids and of what they decode to."""
+def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, digests: bool = False, lean: bool = False) -> DataFrame:
+    """One row per document: id, n_tokens, ids (array), or digests of the ids and of what they decode to.
+
+    lean: the same ids with less memory and more time, for jobs whose tasks have done other work before.
+    """
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(_place(vocabulary), pattern)
+        enc = encoder(_place(vocabulary), pattern, LEAN if lean else CACHE)
         for b in some_rows(batches):
             strings = [x or "" for x in b.column("text").to_pylist()]
             rows = by_volume(list(range(len(strings))), map(len, strings))
@@ -251,6 +255,8 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "
                 if digests:
                     cols |= {"ids_sha256": pa.array(sha_ids, pa.string()), "decoded_sha256": pa.array(sha_text, pa.string())}
                 yield pa.RecordBatch.from_pydict(cols)
+            if lean:
+                give_back()
 
     schema = f"id {kind}, n_tokens long" + ", ids array<int>" * with_ids + ", ids_sha256 string, decoded_sha256 string" * digests
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
