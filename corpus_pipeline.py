@@ -74,7 +74,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
-    return encode_texts(docs, BPE_MULTI, PATTERN).withColumnRenamed("id", "doc_id")
+    return encode_texts(docs, BPE_MULTI, PATTERN, lean=True).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("ngram_jaccard", near_dedup), ("mixing", mixing), ("byte_bpe", byte_bpe)]
